@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import byte_bpe, exact_dedup, mixing, sharding, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,10 +15,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHARD_BYTES = 16 << 20
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.group_texts(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allot(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -28,7 +42,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op6_mix_sources, op10_shard)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_byte_bpe, op6_mix_sources, op10_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
