@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, mixing, sharding, token_counts
+from . import byte_bpe, exact_dedup, language_id, mixing, sharding, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +37,18 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allot(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.bucket("doc_id", 5) == 0)
+    model = language_id.fit(docs, ~F.col("held_out"))
+    return language_id.predict(docs, model, carry=("held_out",))
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_byte_bpe, op6_mix_sources, op10_shard)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_byte_bpe, op6_mix_sources, op8_language_id, op10_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
