@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, sharding, token_counts
+from . import byte_bpe, exact_dedup, language_id, lm_score, mixing, sharding, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +43,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model, carry=("held_out",))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"), language_id.bucket("doc_id", 7) == 2)
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), limit=SHARD_BYTES)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_byte_bpe, op6_mix_sources, op8_language_id, op10_shard)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op5_byte_bpe, op6_mix_sources, op8_language_id, op9_lm_score, op10_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
