@@ -33,6 +33,7 @@ FAN = 16
 KEY = ["digest", "length", "check"]
 #: An entry of a run: the retained identifier of a digest, the row that has it, and the rows counted so far.
 ENTRY = "target long, digest binary, length long, check long, id long, row long, n long"
+ENTRY_ARROW = pa.schema([(f.split()[0], pa.binary() if "binary" in f else pa.int64()) for f in ENTRY.split(", ")])
 
 
 def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,7 +45,7 @@ def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        new = pa.Table.from_batches([batch])
+        new = pa.Table.from_batches([batch]).cast(ENTRY_ARROW)  # the stream's own schema says which are never null
         t = (new if held is None else pa.concat_tables([held, new])).combine_chunks()
         same = np.ones(t.num_rows - 1, bool)
         for k in ["target", *KEY]:
