@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, exact_dedup, language_id, lm_score, mixing, sharding, token_counts
+from . import ann, byte_bpe, exact_dedup, language_id, lm_score, mixing, near_dedup, sharding, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.allot(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", language_id.bucket("doc_id", 5) == 0)
     model = language_id.fit(docs, ~F.col("held_out"))
@@ -56,7 +60,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op4_nearest, op5_byte_bpe, op6_mix_sources, op8_language_id, op9_lm_score, op10_shard)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op4_nearest, op5_byte_bpe, op6_mix_sources, op7_near_dedup, op8_language_id, op9_lm_score, op10_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
