@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, byte_bpe, exact_dedup, language_id, lm_score, mixing, near_dedup, sharding, token_counts
+from . import ann, byte_bpe, exact_dedup, language_id, lm_score, mixing, near_dedup, sharding, span_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op3_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
@@ -60,7 +64,7 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op4_nearest, op5_byte_bpe, op6_mix_sources, op7_near_dedup, op8_language_id, op9_lm_score, op10_shard)}
+    return {f.__name__: f for f in (op1_exact_dedup, op2_token_counts, op3_span_dedup, op4_nearest, op5_byte_bpe, op6_mix_sources, op7_near_dedup, op8_language_id, op9_lm_score, op10_shard)}
 
 
 def oracle_sql() -> dict[str, str]:
