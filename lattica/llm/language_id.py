@@ -130,7 +130,7 @@ class Scorer:
 _scorers: dict[str, Scorer] = {}
 
 
-def predict_batches(name: str, model, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def predict_batches(name: str, model, keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if name not in _scorers:
         _scorers.clear()
         _scorers[name] = Scorer(model.value)
@@ -143,8 +143,8 @@ def predict_batches(name: str, model, batches: Iterator[pa.RecordBatch]) -> Iter
         score = 1 / np.exp2(-np.minimum(lead / UNIT, 1000.0)).sum(axis=1)
         known = np.array([has_letter(t) for t in texts], bool) & bool(scorer.languages)
         names = [scorer.languages[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known.tolist(), strict=True)]
-        arrays = [batch[i] for i in range(batch.num_columns) if i != 1]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], [*(f"c{i}" for i in range(len(arrays))), "lang_pred", "score"])
+        own = [i for i in range(batch.num_columns) if i != 1 or keep_text]
+        yield pa.RecordBatch.from_arrays([*(batch[i] for i in own), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], [*(batch.schema.names[i] for i in own), "lang_pred", "score"])
 
 
 def has_letter(text: str) -> bool:
@@ -189,10 +189,9 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(model)  # bounded by CONTEXTS
     name = f"{spark.sparkContext.applicationId}-{sent._jbroadcast.id()}"  # noqa: SLF001
-    names = [id_col, *carry]
-    own = docs.select(F.col(f"`{id_col}`").alias("c0"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"c{i + 1}") for i, c in enumerate(carry)])
-    kinds = dict(own.dtypes)
-    schema = ", ".join([f"c{i} {kinds[f'c{i}']}" for i in range(len(names))] + ["lang_pred string", "score double"])
-    out = own.mapInArrow(lambda b: predict_batches(name, sent, b), schema)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "lang_pred", "score")
-
+    place = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([id_col, *carry])) if c != text_col} | {text_col: "t"}
+    own = docs.select(F.col(f"`{id_col}`").alias(place[id_col]), F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in place.items() if c not in (id_col, text_col)])
+    keep_text = text_col in carry
+    schema = ", ".join([f"{k} {kind}" for k, kind in own.dtypes if k != "t" or keep_text] + ["lang_pred string", "score double"])
+    out = own.mapInArrow(lambda b: predict_batches(name, sent, keep_text, b), schema)
+    return out.select(*[F.col(place[c]).alias(c) for c in dict.fromkeys([id_col, *carry])], "lang_pred", "score")

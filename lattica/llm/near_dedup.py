@@ -2,9 +2,9 @@
 
 Signatures come from two permutations of the 32-bit numbers only: sigma mixes a
 shingle's hash once, pi, circularly shifted by k, gives coordinate k: the least
-pi(sigma(x) + k) over the set. ROWS coordinates make a band; texts that share a band
-are candidates. Two sets with similarity 0.85 share none of the BANDS bands
-with probability (1 - 0.85^ROWS)^BANDS, about 2e-8.
+pi(sigma(x) + k) over the set. Several coordinates make a band; texts that share a
+band are candidates. The number of bands is chosen so that two sets of just the
+wanted similarity share none of them with a probability of MISS at most.
 
 Documents with one shingle set are one node. In each band value's bucket all
 nodes are first verified against the least one, so a bucket of n near copies costs
@@ -17,6 +17,7 @@ Components of all links are found by label propagation.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from .common import blocks, mix64, stage, text_bytes
 from .components import components
 
-BANDS, ROWS = 56, 8
+#: Probability that a link at the threshold is no candidate, and coordinates of a band and bands at most.
+MISS, MAX_ROWS, MAX_BANDS = 2e-8, 8, 80
 #: Bytes of text hashed at once, and shingles whose signature is taken at once.
 BLOCK, CHUNK = 2 << 20, 2048
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -59,7 +61,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return starts, mix64(h ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def shingle_sets(texts: list[bytes], width: int = 3) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes], width: int) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's word shingles: runs of width words, or the whole text if it has fewer."""
     out: list[np.ndarray] = []
     for a, b in blocks([len(t) for t in texts], BLOCK):
@@ -84,6 +86,16 @@ def shingle_sets(texts: list[bytes], width: int = 3) -> list[np.ndarray]:
     return out
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """Bands and rows for a threshold: the longest bands for which MAX_BANDS are enough."""
+    for rows in range(MAX_ROWS, 0, -1):
+        chance = (percent / 100) ** rows
+        bands = 1 if chance >= 1 else math.ceil(math.log(MISS) / math.log1p(-chance))
+        if bands <= MAX_BANDS:
+            return bands, rows
+    raise ValueError("percent is too low for banding")
+
+
 def _permute(x: np.ndarray, a: int, b: int) -> np.ndarray:
     """A permutation of the 32-bit numbers, in place."""
     x ^= x >> np.uint32(16)
@@ -94,10 +106,10 @@ def _permute(x: np.ndarray, a: int, b: int) -> np.ndarray:
     return x
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
-    """All BANDS * ROWS coordinates: sigma once, then pi shifted by each coordinate's number."""
+def signature(hashes: np.ndarray, length: int) -> np.ndarray:
+    """All coordinates: sigma once, then pi shifted by each coordinate's number."""
     mixed = _permute((hashes >> np.uint64(32)).astype(np.uint32), 0x85EBCA6B, 0xC2B2AE35)
-    shift = np.arange(BANDS * ROWS, dtype=np.uint32)[:, None]
+    shift = np.arange(length, dtype=np.uint32)[:, None]
     least = None
     for s in range(0, len(mixed), CHUNK):
         own = _permute(mixed[None, s : s + CHUNK] + shift, 0x7FEB352D, 0x846CA68B).min(axis=1)
@@ -105,28 +117,28 @@ def signature(hashes: np.ndarray) -> np.ndarray:
     return least
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
+def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        parts, key = sig.reshape(BANDS, ROWS).astype(np.uint64), np.arange(BANDS, dtype=np.uint64)
-        for j in range(ROWS):
+        parts, key = sig.reshape(bands, -1).astype(np.uint64), np.arange(bands, dtype=np.uint64)
+        for j in range(parts.shape[1]):
             key = mix64(key * BASE + parts[:, j])
         return key.view(np.int64)
 
 
-def sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sketch_batches(width: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         texts = text_bytes(batch[2])
         for a, b in blocks([len(t) for t in texts], BLOCK):
-            sets = shingle_sets(texts[a:b])
+            sets = shingle_sets(texts[a:b], width)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            bands = [band_keys(signature(s)) if len(s) else np.zeros(0, np.int64) for s in sets]
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, bands)]), pa.int32()), pa.array(np.concatenate(bands)))
+            keys = [band_keys(signature(s, bands * rows), bands) if len(s) else np.zeros(0, np.int64) for s in sets]
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys)))
             bodies = [pack(t.lower()) for t in texts[a:b]]
             yield pa.RecordBatch.from_arrays([batch[0].slice(a, b - a), batch[1].slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(bodies, pa.binary())], [f.split()[0] for f in SKETCH.split(", ")])
 
 
-def verify_batches(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def verify_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns a, b, body_a, body_b: the pairs whose full sets are similar enough."""
     unpack = zstandard.ZstdDecompressor().decompress
     held, held_set = None, None
@@ -136,29 +148,29 @@ def verify_batches(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[
         keep = []
         for i in range(len(a)):
             if held != b[i]:
-                held, held_set = b[i], shingle_sets([unpack(body_b[i].as_py())])[0]
-            x = shingle_sets([unpack(body_a[i].as_py())])[0]
+                held, held_set = b[i], shingle_sets([unpack(body_b[i].as_py())], width)[0]
+            x = shingle_sets([unpack(body_a[i].as_py())], width)[0]
             both = len(np.intersect1d(x, held_set, assume_unique=True))
             if 100 * both >= percent * (len(x) + len(held_set) - both):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sketches: DataFrame, percent: int, width: int) -> DataFrame:
     """The pairs (a, b) whose sets' similarity is at least percent; bodies are fetched for their nodes only."""
     pairs = stage(pairs, "pairs")
     needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
     bodies = stage(sketches.select("row", "body").join(needed, "row", "left_semi"), "bodies")
     full = pairs.join(bodies.select(F.col("row").alias("a"), F.col("body").alias("body_a")), "a")
     full = full.join(bodies.select(F.col("row").alias("b"), F.col("body").alias("body_b")), "b")
-    return stage(full.select("a", "b", "body_a", "body_b").mapInArrow(lambda x: verify_batches(percent, x), "a long, b long"), "verified")
+    return stage(full.select("a", "b", "body_a", "body_b").mapInArrow(lambda x: verify_batches(percent, width, x), "a long, b long"), "verified")
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id_col, n_shingles, component_id, kept.
 
-    A set is that of the distinct three-word shingles after lower-casing A-Z; of a
-    text with one or two words, the whole sequence; of a text without words or a null
+    A set is that of the distinct shingles of width words after lower-casing A-Z; of a
+    text with fewer words, the whole sequence; of a text without words or a null
     one, empty, and linked with nothing. Linked: 100 * intersection >= percent *
     union. component_id is the least identifier reachable, the own included; kept
     where it is the own one (all rows that repeat it). Equal sets are linked.
@@ -166,7 +178,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id
     then and its rows are kept. An empty table gives an empty result.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sketches = stage(rows.mapInArrow(sketch_batches, SKETCH), "sketches")
+    sketches = stage(rows.mapInArrow(lambda b: sketch_batches(width, *banding(percent), b), SKETCH), "sketches")
     sets = stage(sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.min("n").alias("n")), "sets")
     # One node a set; its bands are those of its first row.
     banded = stage(sketches.select("row", "n", "bands").join(sets.select(F.col("node").alias("row")), "row", "left_semi"), "banded")
@@ -176,7 +188,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id
     sizes = sets.select(F.col("node").alias("centre"), F.col("n").alias("m"))
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
     stars = members.where("node != centre").select("node", "n", "centre").distinct().join(sizes, "centre").where(fits)
-    links = _verified(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), sketches, percent)
+    links = _verified(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), sketches, percent, width)
     labels = components(links)
 
     # Links that no star saw: pairs of one bucket, in different components, neither the centre.
@@ -188,7 +200,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id
     across = (F.col("l.band") == F.col("r.band")) & (F.col("l.comp") < F.col("r.comp"))
     similar = F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent
     more = left.join(right, across & similar).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-    late = _verified(more, sketches, percent)
+    late = _verified(more, sketches, percent, width)
     if late.take(1):
         labels = components(links.unionByName(late))
 
@@ -201,8 +213,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def drop_near_copies(docs: DataFrame, *, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each component: its least identifier (rows that repeat it stay)."""
-    found = near_duplicates(docs, percent=percent, id_col=id_col, text_col=text_col)
+    found = near_duplicates(docs, percent=percent, width=width, id_col=id_col, text_col=text_col)
     gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).where(F.col("_gone").isNotNull()).distinct()
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -46,7 +46,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85, width=3)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
