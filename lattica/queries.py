@@ -192,7 +192,7 @@ UNION ALL SELECT 'n' || n_nationkey, n_name, 'text|image', 'medicine|multilingua
 def benchmark_defaults(spark: SparkSession, d: str) -> DataFrame:
     n = table(spark, d, "nation").select(F.concat(F.lit("n"), "n_nationkey").alias("benchmark_id"), F.col("n_name").alias("name"), F.array(F.lit("text"), F.lit("image")).alias("modality"), F.array(F.lit("medicine"), F.lit("multilingual")).alias("domain"), F.lit("fraction").alias("response_type"), F.lit("k/N").alias("response_scale"), F.lit(False).alias("categorical"), F.lit(1).alias("o"))
     late = n.withColumn("name", F.lit("late")).withColumn("o", F.lit(2))  # a second registration changes nothing
-    bare = table(spark, d, "region").limit(1).select(F.lit("docs").alias("benchmark_id"), F.lit("").alias("name"), F.array().cast("array<string>").alias("modality"), F.lit(None).cast("array<string>").alias("domain"), F.lit("").alias("response_type"), F.lit(None).cast("string").alias("response_scale"), F.lit(None).cast("boolean").alias("categorical"), F.lit(1).alias("o"))
+    bare = spark.range(1).select(F.lit("docs").alias("benchmark_id"), F.lit("").alias("name"), F.array().cast("array<string>").alias("modality"), F.lit(None).cast("array<string>").alias("domain"), F.lit("").alias("response_type"), F.lit(None).cast("string").alias("response_scale"), F.lit(None).cast("boolean").alias("categorical"), F.lit(1).alias("o"))
     out = registry.build_benchmarks(n.unionByName(late).unionByName(bare), "o")
     return out.select("benchmark_id", "name", F.array_join("modality", "|").alias("modality"), F.array_join("domain", "|").alias("domain"), "response_type", "response_scale", "categorical")
 
@@ -261,18 +261,18 @@ def dense_grid(spark: SparkSession, d: str) -> DataFrame:
     return joins.flagged(grid, failed, ["n_nationkey", "event_type"], present=0.0).select("n_name", "event_type", "response")
 
 
-@query("""WITH a AS (SELECT c_custkey, c_name, 'a' AS src FROM customer WHERE c_custkey % 3 <> 0), b AS (SELECT c_custkey, upper(c_name) AS c_name, 'b' AS src FROM customer WHERE c_custkey % 2 = 0)
+@query("""WITH a AS (SELECT c_custkey, c_name, 'a' AS src FROM customer WHERE c_acctbal >= 0), b AS (SELECT c_custkey, upper(c_name) AS c_name, 'b' AS src FROM customer WHERE c_nationkey < 12)
 SELECT * FROM a UNION ALL SELECT * FROM b WHERE c_custkey NOT IN (SELECT c_custkey FROM a)""")
 def anti_append(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").select("c_custkey", "c_name")
-    return joins.append_missing(c.where("c_custkey % 3 <> 0").withColumn("src", F.lit("a")), c.where("c_custkey % 2 = 0").select("c_custkey", F.upper("c_name").alias("c_name"), F.lit("b").alias("src")), ["c_custkey"])
+    c = table(spark, d, "customer")
+    return joins.append_missing(c.where("c_acctbal >= 0").select("c_custkey", "c_name", F.lit("a").alias("src")), c.where("c_nationkey < 12").select("c_custkey", F.upper("c_name").alias("c_name"), F.lit("b").alias("src")), ["c_custkey"])
 
 
-@query("""SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE upper(c_name) END ELSE c_name END AS c_name FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""")
+@query("""SELECT c_custkey, CASE WHEN c_nationkey < 12 THEN CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE upper(c_name) END ELSE c_name END AS c_name FROM customer WHERE c_acctbal >= 0 OR c_nationkey < 12""")
 def precedence_merge(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "customer").select("c_custkey", "c_name")
-    later = c.where("c_custkey % 2 = 0").select("c_custkey", F.when(F.col("c_custkey") % 10 != 0, F.upper("c_name")).alias("c_name"))
-    return joins.prefer(c.where("c_custkey % 3 <> 0"), later, ["c_custkey"], ["c_name"])
+    c = table(spark, d, "customer")
+    later = c.where("c_nationkey < 12").select("c_custkey", F.when(F.col("c_mktsegment") != "MACHINERY", F.upper("c_name")).alias("c_name"))
+    return joins.prefer(c.where("c_acctbal >= 0").select("c_custkey", "c_name"), later, ["c_custkey"], ["c_name"])
 
 
 @query("""WITH a AS (SELECT o_custkey % 50 AS m, o_orderkey AS k, 0 AS s FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT o_custkey % 50 AS m, o_orderkey AS k, 1 AS s FROM orders WHERE o_orderstatus = 'O'),
@@ -283,29 +283,29 @@ def larger_source(spark: SparkSession, d: str) -> DataFrame:
     return joins.larger_source([o.where("o_orderstatus = 'F'").drop("o_orderstatus"), o.where("o_orderstatus = 'O'").drop("o_orderstatus")], "m")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name, s_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_partkey % 2 = 0 JOIN supplier ON l_suppkey = s_suppkey""")
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, p_name, s_name FROM lineitem LEFT JOIN part ON l_partkey = p_partkey AND p_size > 25 JOIN supplier ON l_suppkey = s_suppkey""")
 def lookups(spark: SparkSession, d: str) -> DataFrame:
     line = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    part = table(spark, d, "part").where("p_partkey % 2 = 0").select(F.col("p_partkey").cast("string").alias("l_partkey"), "p_name")
+    part = table(spark, d, "part").where("p_size > 25").select(F.col("p_partkey").cast("string").alias("l_partkey"), "p_name")
     supplier = table(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
     out = joins.lookup(joins.lookup(line, part, ["l_partkey"]), supplier, ["l_suppkey"], "inner")
     return out.select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("long").alias("l_partkey"), F.col("l_suppkey").cast("long").alias("l_suppkey"), "p_name", "s_name")
 
 
-@query("""WITH u AS (SELECT vec_id, unnest(range(0, 16)) AS pos, embedding FROM embeddings), f AS (SELECT embedding FROM embeddings WHERE vec_id = 0)
-SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(u.embedding[pos + 1] AS DOUBLE) AS value, CASE WHEN pos < 8 THEN CAST(u.embedding[pos + 17] AS DOUBLE) END AS other FROM u""")
+@query("""WITH u AS (SELECT vec_id, unnest(range(0, len(embedding))) AS pos, embedding FROM embeddings)
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(u.embedding[pos + 1] AS DOUBLE) AS value, CASE WHEN pos < 32 THEN CAST(u.embedding[pos + 33] AS DOUBLE) END AS other FROM u""")
 def arrays_align(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 16).alias("graded"), F.slice("embedding", 17, 8).alias("outputs"))
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("graded"), F.slice("embedding", 33, 32).alias("outputs"))
     out = joins.aligned(e, "graded", "outputs")
     return out.select("vec_id", "pos", F.col("left_value").cast("double").alias("value"), F.col("right_value").cast("double").alias("other"))
 
 
-@query("""WITH f AS (SELECT embedding AS ref FROM embeddings WHERE vec_id = 0), u AS (SELECT vec_id, unnest(range(0, 8)) AS pos, embedding FROM embeddings WHERE vec_id % 10 = 0)
+@query("""WITH f AS (SELECT embedding AS ref FROM embeddings WHERE vec_id = 0), u AS (SELECT vec_id, unnest(range(0, len(embedding))) AS pos, embedding FROM embeddings)
 SELECT vec_id, CAST(pos AS INTEGER) AS pos, CAST(embedding[pos + 1] AS DOUBLE) AS value, 'i' || pos AS id, CAST(ref[pos + 1] AS DOUBLE) AS gold FROM u, f""")
 def positional_join(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings")
-    ref = e.where("vec_id = 0").select(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.concat(F.lit("i"), i.cast("string"))).alias("id"), F.slice("embedding", 1, 8).alias("gold"))
-    out = joins.positional(e.where("vec_id % 10 = 0").select("vec_id", F.slice("embedding", 1, 8).alias("results")), ref, "results", ["id", "gold"])
+    ref = e.where("vec_id = 0").select(F.transform("embedding", lambda x, i: F.concat(F.lit("i"), i.cast("string"))).alias("id"), F.col("embedding").alias("gold"))
+    out = joins.positional(e.select("vec_id", F.col("embedding").alias("results")), ref, "results", ["id", "gold"])
     return out.select("vec_id", "pos", F.col("value").cast("double").alias("value"), "id", F.col("gold").cast("double").alias("gold"))
 
 
@@ -363,14 +363,14 @@ def first_last(spark: SparkSession, d: str) -> DataFrame:
 
 
 _FILES = """f AS (SELECT c_custkey % 60 AS m, 'f' || lpad(o_orderkey::VARCHAR, 9, '0') AS filename, ['afrimedqa-v2', 'afrimedqa-v1', 'afrimedqa-v2.5', 'unknown', 'medqa'][1 + o_orderkey % 5] AS dataset,
- CASE WHEN o_orderkey % 7 < 3 THEN 'instruct' ELSE 'base' END AS prompt, CAST(o_orderkey % 3 AS INTEGER) AS shots, CAST(floor(o_totalprice / 100) AS BIGINT) AS n_items FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 11 = 0)"""
+ CASE WHEN o_orderkey % 7 < 3 THEN 'instruct' ELSE 'base' END AS prompt, CAST(o_orderkey % 3 AS INTEGER) AS shots, CAST(floor(o_totalprice / 100) AS BIGINT) AS n_items FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
 @query(f"""WITH {_FILES}, t AS (SELECT *, CASE WHEN dataset LIKE 'afrimedqa%' AND prompt = 'base' AND shots = 0 THEN 0 WHEN dataset LIKE 'afrimedqa%' AND shots = 0 THEN 1
  WHEN dataset = 'unknown' AND prompt = 'base' AND shots = 0 AND n_items >= 2800 THEN 2 END AS tier, CASE dataset WHEN 'afrimedqa-v2' THEN 0 WHEN 'afrimedqa-v1' THEN 1 WHEN 'afrimedqa-v2.5' THEN 2 ELSE 99 END AS p FROM f)
 SELECT m AS model_dir, filename, dataset, n_items FROM t WHERE tier IS NOT NULL QUALIFY row_number() OVER (PARTITION BY m ORDER BY tier, CASE WHEN tier = 2 THEN 0 ELSE p END, n_items DESC, filename) = 1""")
 def tiered_select(spark: SparkSession, d: str) -> DataFrame:
-    o = table(spark, d, "orders").where("o_orderkey % 11 = 0").join(table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
+    o = table(spark, d, "orders").join(table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey")), "o_custkey")
     k = F.col("o_orderkey")
     names = F.array(*map(F.lit, ("afrimedqa-v2", "afrimedqa-v1", "afrimedqa-v2.5", "unknown", "medqa")))
     files = o.select((F.col("o_custkey") % 60).alias("model_dir"), F.concat(F.lit("f"), F.lpad(k.cast("string"), 9, "0")).alias("filename"), F.get(names, (k % 5).cast("int")).alias("dataset"), F.when(k % 7 < 3, "instruct").otherwise("base").alias("prompt"), (k % 3).cast("int").alias("shots"), F.floor(F.col("o_totalprice") / 100).cast("long").alias("n_items"))
