@@ -22,6 +22,8 @@ from .common import WORD, stage
 
 #: Hexadecimal digits of the shuffling hash that name a bucket: 4,096 buckets a source.
 BUCKET_DIGITS = 3
+#: Rows (source, bucket) up to which their running totals are broadcast, some 20 MB; beyond, the join is left to the optimizer.
+BROADCAST_ROWS = 200_000
 
 
 def source_targets(sizes: DataFrame, *, weights: tuple[int, ...], share_percent: int, epochs: int) -> DataFrame:
@@ -74,6 +76,8 @@ def queue(docs: DataFrame, *, weights: tuple[int, ...] = (5, 2, 1), share_percen
     before = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_bucket.withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
     starts = starts.join(targets, starts["src"].eqNullSafe(targets["s"])).select("s", F.col("bucket").alias("b"), "bucket_start", "source_size", "target")
+    if per_bucket.count() <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     rows = rows.join(starts, rows["src"].eqNullSafe(starts["s"]) & (rows["bucket"] == starts["b"])).drop("s", "b")
     inside = Window.partitionBy("src", "bucket").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("offset", F.col("bucket_start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
