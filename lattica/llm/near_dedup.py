@@ -7,10 +7,16 @@ band are candidates. The number of bands is chosen so that two sets of just the
 wanted similarity share none of them with a probability of MISS at most.
 
 Documents with one shingle set are one node. In each band value's bucket all
-nodes are first verified against the least one, so a bucket of n near copies costs
-n - 1 verifications. What remains possible then are links between nodes of one
-bucket that ended in different components; only buckets with such nodes are looked at
-again, and only pairs across components whose sizes allow the similarity.
+nodes are first held against the least one, so a bucket of n near copies costs
+n - 1 pairs. What remains possible then are links between nodes of one bucket
+that ended in different components; only buckets with such nodes are looked at
+again. There the nodes outside the bucket's main component are compared with all
+others, in blocks of bounded size. No rows are made for pairs: a task confirms
+them on the spot, and looks no further at components it has found a link between.
+
+Every link is confirmed on the full sets. Before that a pair has to agree on
+AGREE signature coordinates less SIGMAS standard deviations of what a pair at the
+threshold agrees on, which a link misses with a probability of about 1e-8.
 Components of all links are found by label propagation.
 """
 
@@ -30,14 +36,18 @@ from .common import blocks, mix64, stage, text_bytes
 from .components import components
 
 #: Probability that a link at the threshold is no candidate, and coordinates of a band and bands at most.
-MISS, MAX_ROWS, MAX_BANDS = 2e-8, 8, 80
+MISS, MAX_ROWS, MAX_BANDS = 2e-8, 8, 45
+#: Coordinates of which a byte each is kept to compare pairs, and how far below the mean they may agree.
+AGREE, SIGMAS = 128, 6.0
+#: Nodes outside the main component of a bucket that a task holds, on average.
+HELD = 1000
 #: Bytes of text hashed at once, and shingles whose signature is taken at once.
 BLOCK, CHUNK = 2 << 20, 2048
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-SKETCH = "row long, id long, n long, digest binary, bands array<long>, body binary"
+SKETCH = "row long, id long, n long, digest binary, bands array<long>, sig binary, body binary"
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -132,38 +142,98 @@ def sketch_batches(width: int, bands: int, rows: int, batches: Iterator[pa.Recor
         for a, b in blocks([len(t) for t in texts], BLOCK):
             sets = shingle_sets(texts[a:b], width)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            keys = [band_keys(signature(s, bands * rows), bands) if len(s) else np.zeros(0, np.int64) for s in sets]
+            sigs = [signature(s, max(AGREE, bands * rows)) if len(s) else None for s in sets]
+            keys = [np.zeros(0, np.int64) if s is None else band_keys(s[: bands * rows], bands) for s in sigs]
+            marks = [b"" if s is None else s[:AGREE].astype(np.uint8).tobytes() for s in sigs]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys)))
             bodies = [pack(t.lower()) for t in texts[a:b]]
-            yield pa.RecordBatch.from_arrays([batch[0].slice(a, b - a), batch[1].slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(bodies, pa.binary())], [f.split()[0] for f in SKETCH.split(", ")])
+            yield pa.RecordBatch.from_arrays([batch[0].slice(a, b - a), batch[1].slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary()), pa.array(bodies, pa.binary())], [f.split()[0] for f in SKETCH.split(", ")])
+
+
+def least_agreement(percent: int) -> int:
+    p = percent / 100
+    return math.floor(AGREE * p - SIGMAS * math.sqrt(AGREE * p * (1 - p)))
+
+
+class Sets:
+    """Tells whether two packed texts are linked; remembers a few sets."""
+
+    def __init__(self, percent: int, width: int):
+        self.percent, self.width, self.least = percent, width, least_agreement(percent)
+        self.unpack = zstandard.ZstdDecompressor().decompress
+        self.held: dict[int, np.ndarray] = {}
+
+    def of(self, node: int, body: bytes) -> np.ndarray:
+        if node not in self.held:
+            if len(self.held) >= 2 * HELD:
+                self.held.clear()
+            self.held[node] = shingle_sets([self.unpack(body)], self.width)[0]
+        return self.held[node]
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= self.percent * (len(x) + len(y) - both)
 
 
 def verify_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns a, b, body_a, body_b: the pairs whose full sets are similar enough."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    held, held_set = None, None
+    """Columns a, b and n, sig, body of either: the pairs that are linked."""
+    sets = Sets(percent, width)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        n = [batch[k].to_numpy() for k in (2, 3)]
+        x, y = (np.frombuffer(b"".join(batch[k].to_pylist()), np.uint8).reshape(-1, AGREE) for k in (4, 5))
+        may = (100 * np.minimum(*n) >= percent * np.maximum(*n)) & ((x == y).sum(axis=1) >= sets.least)
+        a, b = batch[0].to_numpy(), batch[1].to_numpy()
+        keep = [i for i in np.flatnonzero(may).tolist() if sets.linked(sets.of(int(a[i]), batch[6][i].as_py()), sets.of(int(b[i]), batch[7][i].as_py()))]
+        yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+
+def across_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns band, block, held, node, n, comp, sig, body, sorted so that a block's held nodes come first.
+
+    Links between components, as many as it takes to join them in this block.
+    """
+    sets = Sets(percent, width)
+    key, joined = None, {}
+    nodes = sizes = comps = np.zeros(0, np.int64)
+    marks, bodies, room = np.zeros((0, AGREE), np.uint8), [], 0
+
+    def top(c: int) -> int:
+        while joined.get(c, c) != c:
+            c = joined[c]
+        return c
+
     for batch in batches:
-        a, b = batch[0].to_pylist(), batch[1].to_pylist()
-        body_a, body_b = batch[2], batch[3]
-        keep = []
-        for i in range(len(a)):
-            if held != b[i]:
-                held, held_set = b[i], shingle_sets([unpack(body_b[i].as_py())], width)[0]
-            x = shingle_sets([unpack(body_a[i].as_py())], width)[0]
-            both = len(np.intersect1d(x, held_set, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(held_set) - both):
-                keep.append(i)
-        yield pa.RecordBatch.from_arrays([pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], ["a", "b"])
-
-
-def _verified(pairs: DataFrame, sketches: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) whose sets' similarity is at least percent; bodies are fetched for their nodes only."""
-    pairs = stage(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct()
-    bodies = stage(sketches.select("row", "body").join(needed, "row", "left_semi"), "bodies")
-    full = pairs.join(bodies.select(F.col("row").alias("a"), F.col("body").alias("body_a")), "a")
-    full = full.join(bodies.select(F.col("row").alias("b"), F.col("body").alias("body_b")), "b")
-    return stage(full.select("a", "b", "body_a", "body_b").mapInArrow(lambda x: verify_batches(percent, width, x), "a long, b long"), "verified")
+        out: list[tuple[int, int]] = []
+        for band, block, holds, node, n, comp, sig, body in zip(*(batch[k].to_pylist() for k in range(8)), strict=True):
+            if key != (band, block):
+                key, joined, bodies, sets.held = (band, block), {}, [], {}
+            mark, count = np.frombuffer(sig, np.uint8), len(bodies)
+            if count:
+                near = np.flatnonzero((comps[:count] != comp) & (100 * np.minimum(sizes[:count], n) >= percent * np.maximum(sizes[:count], n)))
+                near = near[(marks[near] == mark).sum(axis=1) >= sets.least]
+                for i in near.tolist():
+                    x, y = top(int(comps[i])), top(comp)
+                    if x != y and sets.linked(sets.of(int(nodes[i]), bodies[i]), sets.of(node, body)):
+                        joined[max(x, y)] = min(x, y)
+                        out.append((int(nodes[i]), node))
+            if holds:
+                if count == room:
+                    room = max(64, 2 * room)
+                    nodes, sizes, comps = (np.resize(v, room) for v in (nodes, sizes, comps))
+                    marks = np.resize(marks, (room, AGREE))
+                nodes[count], sizes[count], comps[count], marks[count] = node, n, comp, mark
+                bodies.append(body)
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int, width: int) -> DataFrame:
+    """Those of the pairs (a, b) that are linked."""
+    side = lambda k: texts.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"sig_{k}"), F.col("body").alias(f"body_{k}"))
+    full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "sig_a", "sig_b", "body_a", "body_b")
+    return stage(full.mapInArrow(lambda x: verify_batches(percent, width, x), "a long, b long"), "verified")
 
 
 def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -181,26 +251,31 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     sketches = stage(rows.mapInArrow(lambda b: sketch_batches(width, *banding(percent), b), SKETCH), "sketches")
     sets = stage(sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.min("n").alias("n")), "sets")
     # One node a set; its bands are those of its first row.
-    banded = stage(sketches.select("row", "n", "bands").join(sets.select(F.col("node").alias("row")), "row", "left_semi"), "banded")
-    keys = banded.select(F.col("row").alias("node"), "n", F.explode("bands").alias("band"))
-    shared = keys.groupBy("band").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").drop("last")
-    members = stage(keys.join(shared, "band"), "members")
-    sizes = sets.select(F.col("node").alias("centre"), F.col("n").alias("m"))
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    stars = members.where("node != centre").select("node", "n", "centre").distinct().join(sizes, "centre").where(fits)
-    links = _verified(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), sketches, percent, width)
+    # Joins with a side of one row a document merge at any size: hinted, since a broadcast would not hold at scale.
+    nodes = sketches.select("row", "bands").join(sets.select(F.col("node").alias("row")).hint("merge"), "row", "left_semi")
+    banded = stage(nodes.select(F.col("row").alias("node"), "bands"), "banded")
+    keys = banded.select("node", F.explode("bands").alias("band"))
+    # Staged, so that both sides of the next join are exchanges of their own and a band of very many nodes can be split.
+    shared = stage(keys.groupBy("band").agg(F.count("*").alias("nodes")).where("nodes > 1").select("band"), "shared").hint("merge")
+    members = stage(keys.join(shared, "band", "left_semi"), "members")
+    wanted = members.select(F.col("node").alias("row")).distinct().hint("merge")
+    texts = stage(sketches.select("row", "n", "sig", "body").join(wanted, "row", "left_semi").withColumnRenamed("row", "node"), "texts")
+    centres = members.groupBy("band").agg(F.min("node").alias("b"))
+    stars = members.join(centres, "band").where("node != b").select(F.col("node").alias("a"), "b").distinct()
+    links = _verified(stars, texts, percent, width)
     labels = components(links)
 
-    # Links that no star saw: pairs of one bucket, in different components, neither the centre.
-    placed = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    placed = stage(placed, "placed")
-    open_ = placed.groupBy("band").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x != y").select("band")
-    rest = stage(placed.where("node != centre").join(open_, "band", "left_semi").select("band", "node", "n", "comp"), "rest")
-    left, right = rest.alias("l"), rest.alias("r")
-    across = (F.col("l.band") == F.col("r.band")) & (F.col("l.comp") < F.col("r.comp"))
-    similar = F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent
-    more = left.join(right, across & similar).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-    late = _verified(more, sketches, percent, width)
+    # Links that no star saw: nodes of one bucket in different components.
+    placed = stage(members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "placed")
+    counts = placed.groupBy("band", "comp").agg(F.count("*").alias("k"))
+    open_ = counts.groupBy("band").agg(F.max_by("comp", F.struct("k", -F.col("comp"))).alias("main"), F.max("k").alias("in_main"), F.sum("k").alias("all")).where("all > in_main")
+    open_ = open_.select("band", "main", F.ceil((F.col("all") - F.col("in_main")) / HELD).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    rest = placed.join(open_, "band").select("band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "comp", "main", own.alias("own"), "node")
+    held = (F.col("comp") != F.col("main")) & (F.col("block") == F.col("own"))
+    rest = rest.select("band", "block", held.alias("held"), "node", "comp").join(texts, "node").select("band", "block", "held", "node", "n", "comp", "sig", "body")
+    rest = rest.repartition("band", "block").sortWithinPartitions("band", "block", F.col("held").desc(), "node")
+    late = stage(rest.mapInArrow(lambda x: across_batches(percent, width, x), "a long, b long"), "late")
     if late.take(1):
         labels = components(links.unionByName(late))
 
