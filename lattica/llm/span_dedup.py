@@ -249,7 +249,8 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """The digest row of each document, and for each text with any (h1, h2) the spans that go."""
     found = stage(_keyed(docs, id_col, text_col).mapInArrow(anchor_batches, ANCHORS), "anchors")
     each = found.select("id", "h1", "h2", F.explode(F.arrays_zip("g", "c", "s", "p", "e")).alias("x")).select("id", "h1", "h2", "x.*")
-    twice = each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
+    # Staged, so that both sides of the next join are exchanges of their own and a very frequent anchor can be split.
+    twice = stage(each.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "twice")
     places = stage(each.join(twice, "g"), "places")
     # Of a context: how often it occurs, and one place of it.
     place = F.struct("id", "h1", "h2", "s", "p", "e")
