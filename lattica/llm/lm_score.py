@@ -205,6 +205,25 @@ def score_batches(sent, n_docs: int, batches: Iterator[pa.RecordBatch]) -> Itera
             yield pa.RecordBatch.from_arrays([*(batch[i].slice(a, b - a) for i in range(3)), pa.array(n, pa.int64()), *map(pa.array, sums), lists], [f.split()[0] for f in PARTS.split(", ")[:9]])
 
 
+def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The words above a count that TOP_WORDS of them reach at most, the most frequent first.
+
+    The bound comes from a histogram of a few thousand steps, so the driver gets
+    that and the words themselves, never a candidate list from each partition.
+    """
+    short = counts.where(F.octet_length("word") <= WORD_BYTES).withColumn("step", F.floor(F.log2("c") * 64))
+    bound, words = None, 0
+    for r in sorted(short.groupBy("step").agg(F.count("*").alias("n")).collect(), key=lambda r: -r["step"]):
+        words += r["n"]
+        if words > TOP_WORDS:
+            break
+        bound = r["step"]
+    if bound is None:
+        return []
+    found = [(bytes(r["word"]), r["c"]) for r in short.where(F.col("step") >= bound).select("word", "c").collect()]
+    return sorted(found, key=lambda x: (-x[1], x[0]))
+
+
 def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, held_out, n_tokens, n_known, train_tokens, base_score, score for each row; learned from rows not held out.
 
@@ -222,8 +241,7 @@ def score(docs: DataFrame, held_out: Column, *, id_col: str = "doc_id", text_col
     n_words, v_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n_docs = training.select("id").count()
     n_all, v_all = n_words + n_docs, v_words + (n_docs > 0)
-    short = counts.where(F.octet_length("word") <= WORD_BYTES)
-    top = [(bytes(r["word"]), r["c"]) for r in short.orderBy(F.col("c").desc(), "word").limit(TOP_WORDS).collect()]
+    top = frequent_words(counts)
     some = training.where(F.col("text").isNotNull() & (F.octet_length("text") <= SAMPLE_BYTES)).select("text", F.xxhash64("id").alias("h"))
     some = some.where(F.pmod("h", F.lit(1 << 30)) <= int(min(1.0, 3 * SAMPLE_DOCS / max(1, n_docs)) * (1 << 30)))
     sample = [r["text"].encode() for r in some.orderBy("h", "text").limit(SAMPLE_DOCS).collect()]
