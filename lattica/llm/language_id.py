@@ -31,7 +31,7 @@ SAMPLE_DOCS, SAMPLE_BYTES = 600, 20_000
 #: Context strings that the frozen trees keep, the most frequent ones, beside the empty context and the single bytes.
 CONTEXTS = 12_000
 #: Bytes that are scored at once.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 UNIT = 4096
 UNDETERMINED = "und"
 
@@ -127,14 +127,8 @@ class Scorer:
         return out
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def predict_batches(name: str, model, keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if name not in _scorers:
-        _scorers.clear()
-        _scorers[name] = Scorer(model.value)
-    scorer = _scorers[name]
+def predict_batches(sent, keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    scorer = sent.value
     for batch in batches:
         texts = [t or "" for t in batch[1].to_pylist()]
         lengths = scorer.lengths([t.encode() for t in texts])
@@ -186,12 +180,10 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     likely beforehand, 2^-length normalised. Only the text is looked at. Rows are
     independent, so repeated rows and null identifiers need no care.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(model)  # bounded by CONTEXTS
-    name = f"{spark.sparkContext.applicationId}-{sent._jbroadcast.id()}"  # noqa: SLF001
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))  # bounded by CONTEXTS
     place = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([id_col, *carry])) if c != text_col} | {text_col: "t"}
     own = docs.select(F.col(f"`{id_col}`").alias(place[id_col]), F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in place.items() if c not in (id_col, text_col)])
     keep_text = text_col in carry
     schema = ", ".join([f"{k} {kind}" for k, kind in own.dtypes if k != "t" or keep_text] + ["lang_pred string", "score double"])
-    out = own.mapInArrow(lambda b: predict_batches(name, sent, keep_text, b), schema)
+    out = own.mapInArrow(lambda b: predict_batches(sent, keep_text, b), schema)
     return out.select(*[F.col(place[c]).alias(c) for c in dict.fromkeys([id_col, *carry])], "lang_pred", "score")
