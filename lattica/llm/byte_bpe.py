@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Words that a worker remembers; then it forgets them all and starts anew. Longer words are never kept.
-MEMO_WORDS, MEMO_CHARS = 400_000, 48
+MEMO_WORDS, MEMO_CHARS = 200_000, 48
 #: Characters of a text that are worked on at once, if it has a place to cut.
 PIECE = 1 << 20
 #: How the pre-tokenizer of byte-level vocabularies cuts a text into words.
