@@ -106,6 +106,43 @@ def test_lm_is_normalised():
     assert trained.mean() > -np.log10(n)
 
 
+def test_lm_runs(monkeypatch):
+    """Texts cut into runs give the same tokens, contexts and company as in one run."""
+    rng = random.Random(4)
+    texts = [corpus.prose(rng, rng.choice(list(corpus.WORDS)), n).encode() for n in (1, 700, 3, 0, 40, 2, 90)]
+    place = {w: i for i, (w, _) in enumerate(Counter(w for t in texts for w in lm_score.words_of(t)).most_common(150))}
+    (whole, _), classes = next(lm_score.runs_of(texts, place)), np.arange(150) % 100 + 2
+    assert len(whole) == sum(len(t.split()) + 1 for t in texts)
+    monkeypatch.setattr(lm_score, "RUN", 50)
+    runs = list(lm_score.runs_of(texts, place))
+    assert len(runs) > 10 and np.concatenate([ids[lead:] for ids, lead in runs]).tolist() == whole.tolist()
+    ctx = [lm_score.contexts(lm_score.class_tokens(ids, classes), ids)[:, lead:] for ids, lead in runs]
+    assert np.concatenate(ctx, axis=1).tolist() == lm_score.contexts(lm_score.class_tokens(whole, classes), whole).tolist()
+    near, once = np.zeros((2, 150, 96), np.int64)
+    lm_score.company(whole, 0, once)
+    for ids, lead in runs:
+        lm_score.company(ids, lead, near)
+    assert once.sum() > 100 and (near == once).all()
+
+
+def test_lm_learns_from_all_rows(spark, tmp_path, monkeypatch):
+    """Words that only stand in texts of over 20,000 bytes, or in few of many documents, have learned contexts."""
+    rng = random.Random(5)
+    common, thin = ([f"{k}{i}" for i in range(120)] for k in ("w", "thin"))
+
+    def text(words, n):  # each word is followed by the next one
+        at = rng.randrange(len(words))
+        return " ".join(words[(at + i) % len(words)] for i in range(n))
+
+    data = [(i, text(common, 12), "en", "a") for i in range(2400)] + [(5000 + i, text(thin, 4000), "en", "b") for i in range(7)]
+    monkeypatch.setattr(lm_score, "START", 1)
+    monkeypatch.setattr(lm_score, "RUN", 2000)
+    got = {r["doc_id"]: r for r in queries.op9_lm_score(spark, corpus.parquet(spark, data, tmp_path)).collect()}
+    assert len(got) == len(data)
+    long_ones = [got[5000 + i] for i in range(7)]
+    assert all(r["score"] > 0.9 * r["base_score"] for r in long_ones), [(r["score"] / r["n_tokens"], r["base_score"] / r["n_tokens"]) for r in long_ones]
+
+
 VECTORS = "vec_id long, embedding array<float>, label int, id long, dim int, shard int"
 
 
