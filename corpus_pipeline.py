@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lattica.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
 from lattica.llm.common import stage, table
@@ -11,10 +10,13 @@ from lattica.llm.queries import vocabulary
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which no language can be told: null texts and texts without a letter."""
+    """Drop documents in which no language can be told: null texts and texts without a letter.
+
+    The others stay, also where no language could be learned (no labels, say).
+    """
     model = language_id.fit(docs, language_id.bucket("doc_id", 5) != 0)
-    found = language_id.predict(docs, model, carry=tuple(docs.columns))
-    return found.where(F.col("lang_pred") != language_id.UNDETERMINED).select(*docs.columns)
+    found = language_id.predict(docs, model, carry=tuple(docs.columns), lettered=True)
+    return found.select(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -135,10 +135,11 @@ def predict_batches(sent, keep_text: bool, batches: Iterator[pa.RecordBatch]) ->
         best = lengths.argmin(axis=1)
         lead = lengths - lengths[np.arange(len(best)), best][:, None]
         score = 1 / np.exp2(-np.minimum(lead / UNIT, 1000.0)).sum(axis=1)
-        known = np.array([has_letter(t) for t in texts], bool) & bool(scorer.languages)
+        letter = np.array([has_letter(t) for t in texts], bool)
+        known = letter & bool(scorer.languages)
         names = [scorer.languages[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known.tolist(), strict=True)]
         own = [i for i in range(batch.num_columns) if i != 1 or keep_text]
-        yield pa.RecordBatch.from_arrays([*(batch[i] for i in own), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0))], [*(batch.schema.names[i] for i in own), "lang_pred", "score"])
+        yield pa.RecordBatch.from_arrays([*(batch[i] for i in own), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(letter)], [*(batch.schema.names[i] for i in own), "lang_pred", "score", "letter"])
 
 
 def has_letter(text: str) -> bool:
@@ -171,19 +172,22 @@ def fit(docs: DataFrame, train_on: Column, *, id_col: str = "doc_id", text_col:
     return train([(r["lang"], r["text"].encode()) for r in sample.select("lang", "text").collect()])
 
 
-def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), lettered: bool = False) -> DataFrame:
     """id_col, lang_pred, score and the columns in carry for each row.
 
     lang_pred is the language of the shortest code, ties to the first by name;
     "und" with score 0 if the text is null or has no letter, or nothing was
     learned. score is the winner's probability if all languages are equally
     likely beforehand, 2^-length normalised. Only the text is looked at. Rows are
-    independent, so repeated rows and null identifiers need no care.
+    independent, so repeated rows and null identifiers need no care. lettered:
+    only rows whose text has a letter, whether or not anything was learned.
     """
     sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))  # bounded by CONTEXTS
     place = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([id_col, *carry])) if c != text_col} | {text_col: "t"}
     own = docs.select(F.col(f"`{id_col}`").alias(place[id_col]), F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in place.items() if c not in (id_col, text_col)])
     keep_text = text_col in carry
-    schema = ", ".join([f"{k} {kind}" for k, kind in own.dtypes if k != "t" or keep_text] + ["lang_pred string", "score double"])
+    schema = ", ".join([f"{k} {kind}" for k, kind in own.dtypes if k != "t" or keep_text] + ["lang_pred string", "score double", "letter boolean"])
     out = own.mapInArrow(lambda b: predict_batches(sent, keep_text, b), schema)
+    if lettered:
+        out = out.where("letter")
     return out.select(*[F.col(place[c]).alias(c) for c in dict.fromkeys([id_col, *carry])], "lang_pred", "score")
