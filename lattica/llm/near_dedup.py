@@ -248,6 +248,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     then and its rows are kept. An empty table gives an empty result.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    found = _components(rows, percent, width)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _components(rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """row, id, n and component_id for each of the rows (row, id, text)."""
     sketches = stage(rows.mapInArrow(lambda b: sketch_batches(width, *banding(percent), b), SKETCH), "sketches")
     sets = stage(sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.min("n").alias("n")), "sets")
     # One node a set; its bands are those of its first row.
@@ -282,14 +288,19 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     groups = sets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = groups.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = groups.join(least, "comp").select("digest", "component_id")
-    own = sketches.select("id", "n", "digest")
-    found = own.where("n > 0").join(named, "digest").select("id", "n", "component_id")
-    found = found.unionByName(own.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    own = sketches.select("row", "id", "n", "digest")
+    found = own.where("n > 0").join(named, "digest").select("row", "id", "n", "component_id")
+    return found.unionByName(own.where("n = 0").select("row", "id", "n", F.col("id").alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each component: its least identifier (rows that repeat it stay)."""
-    found = near_duplicates(docs, percent=percent, width=width, id_col=id_col, text_col=text_col)
-    gone = found.where(~F.col("kept")).select(F.col(id_col).alias("_gone")).where(F.col("_gone").isNotNull()).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """docs without the rows that near_duplicates does not keep.
+
+    Of each component the rows of its least identifier stay (rows that repeat it, too); rows go by themselves,
+    so another text under the same identifier is not touched. The rows are staged, which fixes their numbers.
+    """
+    names = docs.columns
+    own = stage(docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), "rows")
+    found = _components(own.select("row", F.col(f"c{names.index(id_col)}").cast("long").alias("id"), F.col(f"c{names.index(text_col)}").alias("text")), percent, width)
+    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("row")
+    return own.join(gone, "row", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

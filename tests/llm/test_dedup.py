@@ -112,6 +112,14 @@ def test_near_edges(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == want
 
 
+def test_near_copies_go_by_row(spark):
+    """Rows that share an identifier, or have none, stay or go each by its own text."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    data = [(1, a, None, None), (2, a + " end", None, None), (2, b, None, None), (None, a, None, None), (None, c, None, None), (3, c + " end", None, None), (None, "", None, None)]
+    kept = near_dedup.drop_near_copies(corpus.frame(spark, data)).select("doc_id", "text").collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(1, a), (2, b), (3, c + " end"), (None, "")]))
+
+
 def test_signature():
     rng = np.random.default_rng(0)
     a, b = rng.integers(0, 2**63, 1000, dtype=np.uint64), rng.integers(0, 2**63, 400, dtype=np.uint64)
