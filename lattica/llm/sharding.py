@@ -32,7 +32,7 @@ def _prefix(bits: int) -> Column:
     return F.shiftright(F.col("hash"), BITS - bits)
 
 
-def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row for each row of docs: id_col, n_bytes, shard, depth, part, shard_bytes, shard_docs.
 
     shard is the prefix of the key's hash as `depth` binary digits ("" at depth
@@ -41,11 +41,12 @@ def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_c
     too large, its rows are chained as parts 0, 1, ... of at most limit bytes, in
     order of size, and shard_bytes is the part's. A single row above the limit
     is a part of its own, the one case above the limit. Null identifiers
-    share the key "". An empty table gives an empty result.
+    share the key "". An empty table gives an empty result. Columns in carry
+    travel with their row.
     """
     if limit < 1:
         raise ValueError("limit is at least 1 byte")
-    rows = stage(docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(id_col)).alias("hash")), "keys")
+    rows = stage(docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(id_col)).alias("hash"), *carry), "keys")
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     low = max(0, math.ceil(math.log2(max(1, total / limit))))
     done: list[DataFrame] = []
@@ -80,12 +81,12 @@ def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_c
     if found is None:
         found = rows.withColumn("cell", F.col("hash")).join(directory, "cell")
     label = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(bin(bucket), depth, '0')"))
-    fit = found.where(F.col("bucket_bytes") <= limit).select("id", "n_bytes", label.alias("shard"), "depth", F.lit(0).cast("long").alias("part"), F.col("bucket_bytes").alias("shard_bytes"), F.col("bucket_docs").alias("shard_docs"))
-    chain = _chained(found.where(F.col("bucket_bytes") > limit), limit, label)
-    return fit.unionByName(chain).select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs")
+    fit = found.where(F.col("bucket_bytes") <= limit).select("id", "n_bytes", label.alias("shard"), "depth", F.lit(0).cast("long").alias("part"), F.col("bucket_bytes").alias("shard_bytes"), F.col("bucket_docs").alias("shard_docs"), *carry)
+    chain = _chained(found.where(F.col("bucket_bytes") > limit), limit, label, carry)
+    return fit.unionByName(chain).select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs", *carry)
 
 
-def _chained(rows: DataFrame, limit: int, label: Column) -> DataFrame:
+def _chained(rows: DataFrame, limit: int, label: Column, carry: tuple[str, ...]) -> DataFrame:
     """Rows of one key that overflow: consecutive parts, cut wherever the running total passes a multiple of half the limit.
 
     A row of more than half the limit is a part of its own, so no other part exceeds the limit.
@@ -93,20 +94,20 @@ def _chained(rows: DataFrame, limit: int, label: Column) -> DataFrame:
     half = F.lit(max(1, limit // 2))
     own = F.col("n_bytes") * 2 > limit
     order = Window.partitionBy("shard", "large").orderBy("n_bytes").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.select("id", "n_bytes", label.alias("shard"), "depth", own.alias("large"))
+    rows = rows.select("id", "n_bytes", label.alias("shard"), "depth", own.alias("large"), *carry)
     before = F.coalesce(F.sum("n_bytes").over(order), F.lit(0))
     rows = rows.withColumn("part", F.when(F.col("large"), -1 - F.coalesce(F.count("*").over(order), F.lit(0))).otherwise(F.floor(before / half)).cast("long"))
     each = Window.partitionBy("shard", "part")
-    return rows.select("id", "n_bytes", "shard", "depth", "part", F.sum("n_bytes").over(each).alias("shard_bytes"), F.count("*").over(each).alias("shard_docs"))
+    return rows.select("id", "n_bytes", "shard", "depth", "part", F.sum("n_bytes").over(each).alias("shard_bytes"), F.count("*").over(each).alias("shard_docs"), *carry)
 
 
 def write_shards(docs: DataFrame, path: str, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write docs as Parquet, one folder a shard below path, and return the assignment."""
-    shards = stage(assign_shards(docs, limit=limit, id_col=id_col, text_col=text_col), "shards")
-    keys = shards.select(F.col(id_col).alias("_key"), "shard", "part").distinct()
-    out = docs.join(keys, docs[id_col].eqNullSafe(keys["_key"])).drop("_key")
+    """Write docs as Parquet, one folder a shard below path, and return the assignment. Each row goes to its own part, numbered in a staged copy."""
+    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    shards = stage(assign_shards(docs, limit=limit, id_col=id_col, text_col=text_col, carry=("_row",)), "shards")
+    out = docs.join(shards.select("_row", "shard", "part"), "_row").drop("_row")
     out.repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
-    return shards
+    return shards.drop("_row")
 
 
 ORACLE = """

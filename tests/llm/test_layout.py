@@ -142,6 +142,16 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, d).count() == seen["byte_bpe"].count()
 
 
+def test_write_repeated_ids(spark, tmp_path):
+    """Rows of one key that are chained into parts are written once each, and no part exceeds the limit."""
+    data = [(7, f"{i:03d} " * 10, None, "a") for i in range(30)] + [(None, "x" * 30, None, "a")] * 5 + [(i, "y" * 20, None, "b") for i in range(20, 30)]
+    shards = sharding.write_shards(corpus.frame(spark, data), str(tmp_path / "out"), limit=100)
+    assert shards.columns == ["doc_id", "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs"]
+    back = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
+    assert sorted(str((r["doc_id"], r["text"])) for r in back.collect()) == sorted(str((i, t)) for i, t, *_ in data)
+    assert all(r["b"] <= 100 for r in back.groupBy("shard", "part").agg(F.sum(F.octet_length("text")).alias("b")).collect())
+
+
 def test_language_stage_without_languages(spark, tmp_path):
     """Where no language can be learned only null and letterless texts go."""
     step = dict(corpus_pipeline.STAGES)["language_id"]
