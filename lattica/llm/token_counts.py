@@ -10,35 +10,46 @@ states at once, which gives its state map; the maps compose through a parallel
 prefix scan; and with each chunk's true start state known, a second run emits
 the marks. So one very long text is as fast as many short ones.
 
-The second reads the symbols of a word. Its state is the last token of the
-tokenization of what it has read, at each place that a token can still start;
-a transition is annotated with the tokens it adds. The last token after one more
-symbol is the one token that ends there and may follow the token ending where it
-starts, where "may follow" means that merging their symbols gives just the two
-again. Transitions are compiled when first taken, and the whole path of a word
-is kept as one transition, annotated with its number of tokens, in a bounded
-table.
+The second reads the bytes of the words and a mark at each word's end. Every
+transition is annotated with the tokens it emits. Its state has the places where
+a token can still start: how far back each is, the last token of what was
+tokenized up to there, and by how many its tokens exceed those already emitted.
+The last token after one more byte is the one token that ends there and may
+follow the token ending where it starts, where "may follow" means that merging
+their symbols gives just the two again. The word's end leads back to the first
+state and emits what is outstanding, so every chunk that starts and ends with a word maps the
+first state to itself and a number of tokens; these maps, too, compose by a
+prefix scan, of which each text's count is a difference. States and transitions are compiled
+when first reached and kept in a hash table of arrays, in which all chunks look
+their next transition up at once.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from collections import Counter as Tally
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 
 from .byte_bpe import byte_chars
-from .common import blocks
 
-#: Words and token pairs a worker remembers; beyond, it forgets them all and starts anew.
-MEMO_WORDS, MEMO_CHARS, MEMO_PAIRS = 500_000, 48, 1_000_000
-#: Bytes of text that are read at once, and chunks they are cut into at most.
-BLOCK, LANES = 6 << 20, 4096
+#: States of the second transducer and token pairs that a worker remembers; beyond, it forgets them all and starts anew.
+MAX_STATES, MEMO_PAIRS = 250_000, 500_000
+#: Characters of text that are read at once, and chunks they are cut into at most.
+BLOCK, LANES = 2 << 20, 4096
+#: Bytes from which a word is read by itself: it would hold up the chunks beside its own.
+LONG = 2048
+#: Spreads transitions over the table.
+HASH = 0x9E3779B97F4A7C15
+#: The second transducer's symbol at a word's end, after the 256 bytes, and the bits of a symbol.
+END, SYMBOL_BITS = 256, 9
 
 #: Symbol classes of the first transducer: blank, letter, number, other, apostrophe, then the letters of contractions.
 BLANK, LETTER, NUMBER, OTHER, APOS = range(5)
@@ -50,10 +61,17 @@ STATES, SYMBOLS = 7, 5 + len(CONTRACTION)
 SPACES = (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 
 
-@lru_cache(1)
-def symbol_table() -> np.ndarray:
+def unassigned() -> list[int]:
+    """Code points that Python's character tables do not know; the tokenizer's may. Beyond plane 3 there are none in use."""
+    return [c for c in range(0x40000) if unicodedata.category(chr(c)) == "Cn"]
+
+
+def symbol_table(kind_of: dict[int, int]) -> np.ndarray:
+    """The symbol class of each code point; kind_of has those that Python's character tables do not know."""
     kinds = {"L": LETTER, "N": NUMBER}
     out = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
+    for c, kind in kind_of.items():
+        out[c] = kind
     out[list(SPACES)] = BLANK
     out[ord("'")] = APOS
     for i, c in enumerate(CONTRACTION):
@@ -129,35 +147,45 @@ def word_bounds(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-class MergeTransducer(dict):
-    """word -> tokens. A word not yet in the table is read symbol by symbol."""
+class MergeTransducer:
+    """Bytes of words to numbers of tokens."""
 
     def __init__(self, vocab: dict[str, int], merges: list, suffix: str):
-        super().__init__()
         self.suffix = suffix
         self.rank = {}
         for r, pair in enumerate(merges):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             self.rank[a, b] = r
-        self.chars = {b: c for b, c in byte_chars().items()}
+        byte_of = {c: b for b, c in byte_chars().items()}
         self.tokens = list(vocab)
         #: Which tokens their own symbols merge to: None until asked.
         self.own: list[bool | None] = [None] * len(self.tokens)
-        #: The trie of the tokens read backwards: node << 10 | character -> node; at each node the token that starts there,
-        #: inside a word and at its end.
-        self.back: dict[int, int] = {}
-        self.inner, self.final = [-1], [-1]
+        #: Bytes of a token inside a word, and at its end; and all that a token can start with.
+        self.inner: dict[bytes, int] = {}
+        self.final: dict[bytes, int] = {}
+        self.begins: set[bytes] = set()
         for i, t in enumerate(self.tokens):
-            body, node = t.removesuffix(suffix), 0
-            for c in reversed(body):
-                key = node << 10 | ord(c)
-                node = self.back.get(key, 0)
-                if not node:
-                    node = self.back[key] = len(self.inner)
-                    self.inner.append(-1)
-                    self.final.append(-1)
-            (self.inner if len(body) == len(t) else self.final)[node] = i
+            body = t.removesuffix(suffix)
+            if all(c in byte_of for c in body):
+                raw = bytes(byte_of[c] for c in body)
+                (self.inner if len(body) == len(t) else self.final)[raw] = i
+                self.begins.update(raw[:k] for k in range(1, len(raw) + 1))
         self.pairs: dict[int, bool] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        #: A state: the bytes from its first open place on, then of each open place its distance, last token and outstanding tokens.
+        self.states: list[tuple] = [(b"", (0, -1, 0))]
+        self.number = {self.states[0]: 0}
+        self.size = 0
+        self.room(1 << 16)
+
+    def room(self, slots: int) -> None:
+        old = [x[self.keys >= 0].tolist() for x in (self.keys, self.after, self.emits)] if self.size else []
+        self.keys, self.after, self.emits = np.full(slots, -1, np.int64), np.zeros(slots, np.int32), np.zeros(slots, np.int16)
+        self.shift = np.uint64(64 - (slots.bit_length() - 1))
+        for transition in zip(*old, strict=True):
+            self.put(*transition)
 
     def symbols(self, token: str) -> list[str]:
         body = token.removesuffix(self.suffix)
@@ -187,48 +215,103 @@ class MergeTransducer(dict):
         return self.own[i]
 
     def follows(self, a: int, b: int) -> bool:
-        x, y = self.tokens[a], self.tokens[b]
-        known = self.stands(b) and self.merge(self.symbols(x) + self.symbols(y)) == [x, y]
-        if len(self.pairs) >= MEMO_PAIRS:
-            self.pairs.clear()
-        self.pairs[a << 20 | b] = known
+        """Whether token b may come after token a, or open a word if a is -1."""
+        if a < 0:
+            return self.stands(b)
+        known = self.pairs.get(a << 20 | b)
+        if known is None:
+            x, y = self.tokens[a], self.tokens[b]
+            known = self.stands(b) and self.merge(self.symbols(x) + self.symbols(y)) == [x, y]
+            if len(self.pairs) >= MEMO_PAIRS:
+                self.pairs.clear()
+            self.pairs[a << 20 | b] = known
         return known
 
-    def read(self, word: str) -> int:
-        text = [ord(self.chars[b]) for b in word.encode()]
-        n, back, pairs = len(text), self.back, self.pairs
-        last, count = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            found = self.inner if end < n else self.final
-            node, at, ends = 0, end, []
-            while at:
-                node = back.get(node << 10 | text[at - 1], 0)
-                if not node:
-                    break
-                at -= 1
-                if found[node] >= 0:
-                    ends.append((found[node], at))
-            for token, start in reversed(ends):  # the longest first; just one of them is the last token
-                if start:
-                    known = pairs.get(last[start] << 20 | token)
-                    if known is None:
-                        known = self.follows(last[start], token)
-                else:
-                    known = self.stands(token)
-                if known:
-                    last[end], count[end] = token, count[start] + 1
-                    break
-            else:
-                raise ValueError(f"no token ends at symbol {end} of {word!r}")
-        return count[n]
-
-    def __missing__(self, word: str) -> int:
-        n = self.read(word)
-        if len(word) <= MEMO_CHARS:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = n
-        return n
+    def compile(self, state: int, symbol: int) -> tuple[int, int]:
+        """The state that the transition leads to and the tokens it emits."""
+        held, *open_ = self.states[state]
+        if symbol == END:
+            if not held:
+                return 0, 0
+            for n, last, more in open_:
+                token = self.final.get(held[len(held) - n :])
+                if n and token is not None and self.follows(last, token):
+                    return 0, more + 1
+            raise ValueError(f"no token ends a word after {held!r}")
+        held += bytes([symbol])
+        new, ends = [], None
+        for n, last, more in open_:  # the farthest back first; just one of them starts the last token
+            raw = held[len(held) - n - 1 :]
+            if ends is None:
+                token = self.inner.get(raw)
+                if token is not None and self.follows(last, token):
+                    ends = (0, token, more + 1)
+            if raw in self.begins:
+                new.append((n + 1, last, more))
+        if ends is None:
+            raise ValueError(f"no token ends after {held!r}")
+        new.append(ends)
+        out = new[0][2]
+        key = (held[len(held) - new[0][0] :], *((n, last, more - out) for n, last, more in new))
+        to = self.number.get(key)
+        if to is None:
+            to = self.number[key] = len(self.states)
+            self.states.append(key)
+        return to, out
+
+    def put(self, key: int, after: int, emits: int) -> None:
+        at = (key * HASH & (1 << 64) - 1) >> int(self.shift)
+        while self.keys[at] >= 0:
+            at = (at + 1) & (len(self.keys) - 1)
+        self.keys[at], self.after[at], self.emits[at] = key, after, emits
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the transitions (state << SYMBOL_BITS | symbol); missing ones are compiled."""
+        at = (keys.astype(np.uint64) * np.uint64(HASH) >> self.shift).astype(np.int64)
+        left = np.flatnonzero(self.keys[at] != keys)
+        while len(left):
+            empty = left[self.keys[at[left]] < 0]
+            if len(empty):
+                for key in np.unique(keys[empty]).tolist():
+                    self.put(key, *self.compile(key >> SYMBOL_BITS, key & (1 << SYMBOL_BITS) - 1))
+                    self.size += 1
+                if 3 * self.size > len(self.keys):
+                    self.room(2 * len(self.keys))
+                return self.find(keys)
+            at[left] = (at[left] + 1) & (len(self.keys) - 1)
+            left = left[self.keys[at[left]] != keys[left]]
+        return at
+
+    def read(self, symbols: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """The tokens that each symbol's transition emits. opens: where words start; the last symbol is END."""
+        out = np.zeros(len(symbols), np.int16)
+        if not len(opens):
+            return out
+        if len(self.states) > MAX_STATES:
+            self.forget()
+        lengths = np.diff(np.append(opens, len(symbols)))
+        for i in np.flatnonzero(lengths > LONG).tolist():
+            state, keys = 0, symbols[opens[i] : opens[i] + lengths[i]]
+            for k, symbol in enumerate(keys.tolist()):
+                at = self.find(np.array([state << SYMBOL_BITS | symbol]))[0]
+                state, out[opens[i] + k] = int(self.after[at]), self.emits[at]
+        # Chunks of whole words, cut near even distances and around long words; the longest first, so those still running stand in front.
+        short = lengths <= LONG
+        step = max(64, len(symbols) // LANES)
+        cut = np.append(True, (opens[1:] // step != opens[:-1] // step) | ~short[:-1] | ~short[1:])
+        first = opens[cut]
+        size = np.add.reduceat(lengths, np.flatnonzero(cut))
+        first, size = first[short[cut]], size[short[cut]]
+        order = np.argsort(-size, kind="stable")
+        first, size = first[order], size[order]
+        state = np.zeros(len(first), np.int64)
+        for t in range(int(size[0]) if len(size) else 0):
+            k = int(np.searchsorted(-size, -t, "left"))
+            at = first[:k] + t
+            found = self.find(state[:k] << SYMBOL_BITS | symbols[at])
+            state[:k] = self.after[found]
+            out[at] = self.emits[found]
+        return out
 
 
 class Counter:
@@ -239,34 +322,78 @@ class Counter:
         if model.get("end_of_word_suffix") != "</w>":
             raise ValueError("a word-end vocabulary is expected")
         self.words = MergeTransducer(model["vocab"], model["merges"], "</w>")
-        self.special = regex.compile("|".join(regex.escape(t["content"]) for t in spec["added_tokens"]))
+        self.specials = [t["content"] for t in spec["added_tokens"]]
+        self.special = regex.compile("|".join(regex.escape(x) for x in sorted(self.specials, key=len, reverse=True)))
+        # Characters are those of the tokenizer's library, which knows some that Python's tables do not, and composes by older ones.
+        library = tokenizers.Tokenizer.from_file(path)
+        new = unassigned()
+        joined = "".join(f" a{chr(c)}{chr(c)}b" for c in new)
+        pieces = Tally(span[0] // 5 for _, span in library.pre_tokenizer.pre_tokenize_str(joined))
+        self.table = symbol_table({c: {1: LETTER, 4: NUMBER}.get(pieces[i], OTHER) for i, c in enumerate(new)})
+        lower = tokenizers.normalizers.Lowercase()
+        self.lower = {c: x for c, x in zip(new, lower.normalize_str("\n".join(map(chr, new))).split("\n"), strict=True) if x != chr(c)}
+        self.newer = regex.compile("[" + "".join(map(chr, self.lower)) + "]") if self.lower else None
+        self.compose = tokenizers.normalizers.NFC().normalize_str
 
     def normal(self, text: str) -> str:
         """NFC and lower case, character by character: a final sigma is an ordinary one."""
         if text.isascii():
             return text.lower()
-        return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if not unicodedata.is_normalized("NFC", text):
+            text = self.compose(text)
+        text = text.replace("Σ", "σ").lower()
+        return text.translate(self.lower) if self.newer and self.newer.search(text) else text
+
+    def pieces(self, text: str) -> Iterator[tuple[str, int]]:
+        """The normal text in parts of about BLOCK characters, cut at blanks, each with its number of special tokens."""
+        start = 0
+        while start < len(text):
+            end = text.find(" ", start + BLOCK) if len(text) - start > BLOCK else -1
+            part = text[start : end if end >= 0 else len(text)] if start or end >= 0 else text
+            start = end if end >= 0 else len(text)
+            n = 0
+            if any(x in part for x in self.specials):
+                part, n = self.special.subn("\n", part)  # a special token is one token and parts the text around it
+            yield self.normal(part) + "\n", n
 
     def count(self, texts: list[str]) -> np.ndarray:
         total = np.zeros(len(texts), np.int64)
-        for a, b in blocks([4 * len(t) for t in texts], 4 * BLOCK):
-            parts = []
-            for i in range(a, b):
-                t = texts[i]
-                if "<|" in t:
-                    t, n = self.special.subn("\n", t)  # a special token is one token and parts the text around it
-                    total[i] += n
-                parts.append(self.normal(t) + "\n")
-            joined = "".join(parts)
-            codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-            starts, ends = word_bounds(symbol_table()[codes])
-            del codes
-            counts = np.fromiter(map(self.words.__getitem__, [joined[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]), np.int64, len(starts))
-            sums = np.concatenate([[0], np.cumsum(counts)])
-            offsets = np.cumsum([0, *map(len, parts)])
-            total[a:b] += np.diff(sums[np.searchsorted(starts, offsets)])
+        parts, of, held = [], [], 0
+        for i, t in enumerate(texts):
+            for part, n in self.pieces(t):
+                total[i] += n
+                if held + len(part) > BLOCK and held:
+                    np.add.at(total, of, self.tokens(parts))
+                    parts, of, held = [], [], 0
+                parts.append(part)
+                of.append(i)
+                held += len(part)
+        if parts:
+            np.add.at(total, of, self.tokens(parts))
         return total
 
+    def tokens(self, parts: list[str]) -> np.ndarray:
+        """The tokens of each of the parts, which end with a blank."""
+        joined = "".join(parts)
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts, ends = word_bounds(self.table[codes])
+        data = np.frombuffer(joined.encode("utf-8", "surrogatepass"), np.uint8)
+        edges = np.cumsum([0, *map(len, parts)])
+        if len(data) > len(codes):  # from characters to bytes
+            width = 1 + (codes >= 0x80).astype(np.int64) + (codes >= 0x800) + (codes >= 0x10000)
+            place = np.concatenate([[0], np.cumsum(width)])
+            starts, ends, edges = place[starts], place[ends], place[edges]
+        del codes
+        # The words' bytes, each word with its END.
+        lengths = ends - starts
+        opens = np.cumsum(lengths + 1) - lengths - 1
+        symbols = np.full(int((lengths + 1).sum()), END, np.int64)
+        inside = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        symbols[np.repeat(opens, lengths) + inside] = data[np.repeat(starts, lengths) + inside]
+        sums = np.concatenate([[0], np.cumsum(self.words.read(symbols, opens), dtype=np.int64)])
+        at = np.append(opens, len(symbols))[np.searchsorted(starts, edges)]
+        return np.diff(sums[at])
+
 
 @lru_cache(2)
 def load(path: str) -> Counter:

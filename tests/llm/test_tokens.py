@@ -44,11 +44,27 @@ def test_counts_of_any_text(words, texts):
     assert own.count(texts).tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_counts_of_every_character(words):
+    """Also of those that Python's character tables do not know."""
+    own, library = words
+    texts = [f"a{chr(c)}{chr(c)}b {chr(c)}\u0301 e\u0323{chr(c)}\u0301" for c in range(0x40000) if not 0xD800 <= c < 0xE000]
+    assert own.count(texts).tolist() == [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_long_words_and_texts(words, monkeypatch):
+    own, library = words
+    texts = ["ab" * 3000 + " c " + "é" * 2500, "x" * 9000, "don't " * 4000 + "<|endoftext|>y", "word " * 9 + "z" * 2100]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.count(texts).tolist() == want
+    monkeypatch.setattr(token_counts, "BLOCK", 1000)
+    assert own.count(texts).tolist() == want
+
+
 def test_chunks_compose(words, monkeypatch):
     own, _ = words
     texts = samples()
     whole = own.count(texts).tolist()
-    for lanes, block in ((1, 1 << 20), (7, 64), (4096, 50_000)):
+    for lanes, block in ((1, 1 << 20), (7, 64), (4096, 50_000), (40, 3_000)):
         monkeypatch.setattr(token_counts, "LANES", lanes)
         monkeypatch.setattr(token_counts, "BLOCK", block)
         assert own.count(texts).tolist() == whole
@@ -58,7 +74,7 @@ def test_bounded_memory_tables(words, monkeypatch):
     own, _ = words
     texts = samples()
     whole = own.count(texts).tolist()
-    monkeypatch.setattr(token_counts, "MEMO_WORDS", 3)
+    monkeypatch.setattr(token_counts, "MAX_STATES", 3)
     monkeypatch.setattr(token_counts, "MEMO_PAIRS", 3)
     assert own.count(texts[:200]).tolist() == whole[:200]
 
