@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -16,14 +16,20 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; a local one only where it is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="lattica-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+#: Paths of the staged tables of this process.
+_staged: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost executor costs no recomputation.
 
@@ -33,9 +39,64 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lattica/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Delete the staged tables of this process, but those that keep reads. What was made from the others can't be read any more."""
+    held = keep.inputFiles() if keep is not None else []
+    left = []
+    for path in _staged:
+        name = path.rsplit("/", 1)[1]
+        if any(f"/{name}/" in f for f in held):
+            left.append(path)
+        else:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _staged[:] = left
+
+
+def _reads_files(docs: DataFrame) -> bool:
+    """Whether docs is a Parquet scan with nothing but selections, so that each row is one row of one file."""
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and plan.relation().getClass().getSimpleName() == "HadoopFsRelation" and plan.relation().toString() == "parquet"
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """docs as columns c0, c1, ..., and f and r, which tell its rows apart wherever they are read again.
+
+    f is a hash of the row's file, r its place in it. A table that is not
+    read from Parquet files is staged first.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    if not _reads_files(docs):
+        docs = stage(docs.toDF(*names), "rows")
+    meta = docs.metadataColumn("_metadata")
+    return docs.select(F.xxhash64(meta["file_path"]).alias("f"), meta["row_index"].alias("r"), *[F.col(f"`{c}`").alias(k) for c, k in zip(docs.columns, names, strict=True)])
+
+
+def running_totals(rows: DataFrame, group: list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """rows with "before": the sum of value over the rows of the same group that come before in the order.
+
+    The rows are range-sorted by group and order, each part's total is taken, the
+    parts' totals give each part's start, and only the rows of one part meet: no group
+    is brought together. The order has to tell all rows apart, else equal rows may land in one part.
+    A part's number stays with its rows, which are staged.
+    """
+    rows = stage(rows, f"{name}-rows")  # range bounds are sampled: without this, what makes the rows would run twice
+    placed = stage(rows.repartitionByRange(*group, *order).withColumn("part", F.spark_partition_id()), name)
+    totals = placed.groupBy(*group, "part").agg(F.sum(value).alias("_total"))
+    # One row a group and part here.
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*group, "part", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    inside = Window.partitionBy(*group, "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    found = placed.join(starts, [*group, "part"]).withColumn("before", F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
+    return found.drop("_start")
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. Pure ASCII texts (bytes = characters) take the fast built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
