@@ -30,8 +30,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source as often as its weight asks, up to twice; a document taken twice is two rows."""
-    return mixing.mix(docs)
+    """Each source as often as its weight asks, up to twice; a document taken twice is two rows. A table has no order, so none is made."""
+    return mixing.mix(docs, ordered=False)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
