@@ -1,15 +1,19 @@
 """Exact deduplication by a tree-merge of sorted digest runs.
 
 Every scan partition turns its texts into a run of digests, sorted and with one
-entry a digest. The runs then meet in binomial rounds: slots are numbered in
-base FAN, and in round k a slot exchanges with the FAN - 1 slots that differ from
-it in digit k only, each receiving the entries whose digest has its own digit
-there. A slot merges the FAN runs it got and retains, for each digest, the
-smallest identifier (or the largest, on request) and the number of rows. After log(slots)
-rounds, slot p holds the merged entries of 1/slots of the digest space: no slot
-is a root that would have to hold everything. Since every run has at most one
-entry a digest, a group of copies that holds a third of all rows is at most one
-entry of each run.
+entry a digest. The runs lie in slots, one for each RUN rows and a power of two, and
+meet in binomial rounds, four bits of the slot's number at a time: in a round a
+slot exchanges with the 15 slots that differ from it in those bits only (the last
+round has the bits that are left), each receiving the entries whose digest has
+its own bits there. A slot merges the runs it got and retains, for each digest,
+the smallest identifier (or the largest, on request) and the number of rows.
+After the last round, slot p holds the merged entries of 1/slots of the digest space: no
+slot is a root that would have to hold everything. Since every run has at most
+one entry a digest, a group of copies that holds a third of all rows is at
+most one entry of each run.
+
+A slot's merge is Spark's sort, which spills, followed by one pass over neighbours; it
+does not make use of the runs being sorted already.
 
 Entries are verified at every level: they merge only if SHA-256, length and a
 second, independent 64-bit fingerprint all agree.
@@ -17,22 +21,23 @@ second, independent 64-bit fingerprint all agree.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stage
+from .common import ascii_lower, identified, stage
 
-#: Runs that meet in one merge.
-FAN = 16
+#: Bits of a slot's number that a round exchanges: 16 runs meet in one merge. Rows for each slot.
+ROUND_BITS, RUN = 4, 1 << 20
 
 KEY = ["digest", "length", "check"]
-#: An entry of a run: the retained identifier of a digest, the row that has it, and the rows counted so far.
-ENTRY = "target long, digest binary, length long, check long, id long, row long, n long"
+#: An entry of a run: the retained identifier of a digest, the row that has it (f and r), and the rows counted so far.
+ENTRY = "target long, digest binary, length long, check long, id long, f long, r long, n long"
 ENTRY_ARROW = pa.schema([(f.split()[0], pa.binary() if "binary" in f else pa.int64()) for f in ENTRY.split(", ")])
 
 
@@ -63,36 +68,31 @@ def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _order(keep: str) -> list[Column]:
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is 'smallest' or 'largest'")
-    return [F.col("target"), *map(F.col, KEY), F.col("id").asc_nulls_last() if keep == "smallest" else F.col("id").desc_nulls_last(), F.col("row")]
+    return [F.col("target"), *map(F.col, KEY), F.col("id").asc_nulls_last() if keep == "smallest" else F.col("id").desc_nulls_last(), F.col("f"), F.col("r")]
 
 
-def _merged(runs: DataFrame, slots: int, keep: str) -> DataFrame:
-    """Bring each target's runs together and merge them; the sort spills, so no run has to fit in memory."""
-    return runs.repartition(slots, "target").sortWithinPartitions(*_order(keep)).mapInArrow(merge_runs, ENTRY)
+def _merged(runs: DataFrame, keep: str) -> DataFrame:
+    """Merge the runs that a partition holds, target by target; the sort spills, so no run has to fit in memory."""
+    return runs.sortWithinPartitions(*_order(keep)).mapInArrow(merge_runs, ENTRY)
 
 
 def _keys(text: Column) -> list[Column]:
     return [F.unhex(F.sha2(text, 256)).alias("digest"), F.octet_length(text).cast("long").alias("length"), F.xxhash64(text).alias("check")]
 
 
-def tree_merge(docs: DataFrame, id_col: str, text_col: str, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The digests of all rows, each slot's own run, and the merged entries, of which each digest has one."""
-    texts = docs.select(
-        F.col(id_col).cast("long").alias("id"),
-        F.spark_partition_id().cast("long").alias("slot"),
-        F.monotonically_increasing_id().alias("row"),
-        ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("t"),
-    )
-    digests = stage(texts.select("id", "slot", "row", *_keys(F.col("t"))), "digests")
-    slots, rounds, top = FAN, 1, digests.agg(F.max("slot")).first()[0] or 0
-    while slots <= top:
-        slots, rounds = slots * FAN, rounds + 1
-    local = stage(_merged(digests.select(F.col("slot").alias("target"), *KEY, "id", "row", F.lit(1).cast("long").alias("n")), slots, keep), "runs")
-    place, runs = F.pmod(F.col("check"), F.lit(slots)), local
-    for k in range(rounds):
-        unit = FAN**k
-        own, wanted = F.floor(F.col("target") / unit) % FAN, F.floor(place / unit) % FAN
-        runs = _merged(runs.withColumn("target", (F.col("target") + (wanted - own) * unit).cast("long")), slots, keep)
+def tree_merge(rows: DataFrame, keep: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows (f, r, id, text): the digests of all, each scan partition's run (target: its number), and the merged entries, of which each digest has one."""
+    text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
+    digests = stage(rows.select("f", "r", F.col("id").cast("long").alias("id"), F.spark_partition_id().cast("long").alias("slot"), text.alias("t")).select("f", "r", "id", "slot", *_keys(F.col("t"))), "digests")
+    bits = max(1, math.ceil(math.log2(max(rows.sparkSession.sparkContext.defaultParallelism, digests.count() / RUN))))
+    slots = 1 << bits
+    first = digests.select(F.col("slot").alias("target"), *KEY, "id", "f", "r", F.lit(1).cast("long").alias("n"))
+    local = stage(_merged(first, keep), "runs")
+    place, runs = F.pmod(F.col("check"), F.lit(slots)), local.withColumn("target", F.pmod("target", F.lit(slots)))
+    for low in range(0, bits, ROUND_BITS):
+        mask = (1 << min(bits, low + ROUND_BITS)) - (1 << low)
+        target = F.col("target").bitwiseAND(F.lit(~mask)).bitwiseOR(place.bitwiseAND(F.lit(mask)))
+        runs = _merged(runs.withColumn("target", target).repartition(slots, "target"), keep)
     return digests, local, runs
 
 
@@ -107,27 +107,25 @@ def group_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     An empty table gives an empty result. Further columns are ignored, whatever
     their names.
     """
-    digests, local, merged = tree_merge(docs, id_col, text_col, keep)
-    # Back to the rows: a local run asks for the merged entry once a digest, so a group of copies is one row a slot in
-    # the first join, and in the second never more rows than its slot has.
-    found = merged.select(*KEY, F.col("id").alias("keep_id"), F.col("row").alias("keep_row"), F.col("n").alias("group_size"))
-    known = local.select(F.col("target").alias("slot"), *KEY).join(found, KEY)
+    rows = identified(docs).select("f", "r", F.col(f"c{docs.columns.index(id_col)}").alias("id"), F.col(f"c{docs.columns.index(text_col)}").alias("text"))
+    digests, local, merged = tree_merge(rows, keep)
+    # Back to the rows: a local run asks for the merged entry once a digest, so a group of copies is one row a run in
+    # the first join, and in the second never more rows than its scan partitions have.
+    found = merged.select(*KEY, F.col("id").alias("keep_id"), F.col("f").alias("keep_f"), F.col("r").alias("keep_r"), F.col("n").alias("group_size"))
+    known = local.select(F.col("target").alias("slot"), *KEY).distinct().join(found, KEY)
     rows = digests.join(known, ["slot", *KEY])
-    return rows.select(F.col("id").alias(id_col), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    kept = (F.col("f") == F.col("keep_f")) & (F.col("r") == F.col("keep_r"))
+    return rows.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest") -> DataFrame:
     """docs without copies, all columns kept: of equal texts the row that group_texts keeps stays.
 
-    The rows find their merged entry by identifier and digest, which only the
-    kept row (or exact repetitions of it) has: no group meets in one task.
+    Columns of any name pass through; null and empty texts are one group, an empty table stays empty.
+    The kept rows are found again by their place in the input, so no group meets in one task and no text is compared.
     """
     names = docs.columns
-    _, _, merged = tree_merge(docs, id_col, text_col, keep)
-    own = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    text = ascii_lower(F.coalesce(F.col(f"c{names.index(text_col)}"), F.lit("")))
-    own = own.withColumn("id", F.coalesce(F.col(f"c{names.index(id_col)}").cast("string"), F.lit("-"))).withColumns(dict(zip(KEY, _keys(text), strict=True)))
-    found = merged.select(F.coalesce(F.col("id").cast("string"), F.lit("-")).alias("id"), *KEY)
-    again = Window.partitionBy("id", *KEY).orderBy("id", *KEY)
-    kept = own.join(found, ["id", *KEY], "left_semi").withColumn("again", F.row_number().over(again)).where("again = 1")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    own = identified(docs)
+    _, _, merged = tree_merge(own.select("f", "r", F.col(f"c{names.index(id_col)}").alias("id"), F.col(f"c{names.index(text_col)}").alias("text")), keep)
+    kept = stage(merged.select("f", "r"), "kept")
+    return own.join(kept, ["f", "r"], "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
