@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, mix64, stage, text_bytes
+from .common import blocks, identified, mix64, stage, text_bytes
 from .components import components
 
 #: Probability that a link at the threshold is no candidate, and coordinates of a band and bands at most.
@@ -47,7 +47,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-SKETCH = "row long, id long, n long, digest binary, bands array<long>, sig binary, body binary"
+SKETCH = "row long, f long, r long, id long, n long, digest binary, bands array<long>, sig binary, body binary"
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -136,9 +136,10 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketch_batches(width: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns row, f, r, id, text."""
     pack = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
-        texts = text_bytes(batch[2])
+        texts = text_bytes(batch[4])
         for a, b in blocks([len(t) for t in texts], BLOCK):
             sets = shingle_sets(texts[a:b], width)
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
@@ -147,7 +148,7 @@ def sketch_batches(width: int, bands: int, rows: int, batches: Iterator[pa.Recor
             marks = [b"" if s is None else s[:AGREE].astype(np.uint8).tobytes() for s in sigs]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys)))
             bodies = [pack(t.lower()) for t in texts[a:b]]
-            yield pa.RecordBatch.from_arrays([batch[0].slice(a, b - a), batch[1].slice(a, b - a), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary()), pa.array(bodies, pa.binary())], [f.split()[0] for f in SKETCH.split(", ")])
+            yield pa.RecordBatch.from_arrays([*(batch[i].slice(a, b - a) for i in range(4)), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary()), pa.array(bodies, pa.binary())], [f.split()[0] for f in SKETCH.split(", ")])
 
 
 def least_agreement(percent: int) -> int:
@@ -247,13 +248,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     Null identifiers count only where a component has no other; it is null
     then and its rows are kept. An empty table gives an empty result.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = _components(rows, percent, width)
+    found = _components(docs, percent, width, id_col, text_col)
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _components(rows: DataFrame, percent: int, width: int) -> DataFrame:
-    """row, id, n and component_id for each of the rows (row, id, text)."""
+def _components(docs: DataFrame, percent: int, width: int, id_col: str, text_col: str, own: DataFrame | None = None) -> DataFrame:
+    """f, r, id, n and component_id for each row of docs; f and r are those of own, its identified rows, where given."""
+    if own is None:
+        zero = F.lit(0).cast("long")
+        rows = docs.select(zero.alias("f"), zero.alias("r"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    else:
+        rows = own.select("f", "r", F.col(f"c{docs.columns.index(id_col)}").alias("id"), F.col(f"c{docs.columns.index(text_col)}").alias("text"))
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "f", "r", F.col("id").cast("long").alias("id"), "text")  # row numbers are fixed by the next step
     sketches = stage(rows.mapInArrow(lambda b: sketch_batches(width, *banding(percent), b), SKETCH), "sketches")
     sets = stage(sketches.where("n > 0").groupBy("digest").agg(F.min("row").alias("node"), F.min("id").alias("least"), F.min("n").alias("n")), "sets")
     # One node a set; its bands are those of its first row.
@@ -288,19 +294,20 @@ def _components(rows: DataFrame, percent: int, width: int) -> DataFrame:
     groups = sets.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = groups.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = groups.join(least, "comp").select("digest", "component_id")
-    own = sketches.select("row", "id", "n", "digest")
-    found = own.where("n > 0").join(named, "digest").select("row", "id", "n", "component_id")
-    return found.unionByName(own.where("n = 0").select("row", "id", "n", F.col("id").alias("component_id")))
+    every = sketches.select("f", "r", "id", "n", "digest")
+    found = every.where("n > 0").join(named, "digest").select("f", "r", "id", "n", "component_id")
+    return found.unionByName(every.where("n = 0").select("f", "r", "id", "n", F.col("id").alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, *, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs without the rows that near_duplicates does not keep.
 
     Of each component the rows of its least identifier stay (rows that repeat it, too); rows go by themselves,
-    so another text under the same identifier is not touched. The rows are staged, which fixes their numbers.
+    so another text under the same identifier is not touched. Null and empty texts stay; so do columns of
+    any name. An empty table stays empty.
     """
     names = docs.columns
-    own = stage(docs.select(F.monotonically_increasing_id().alias("row"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]), "rows")
-    found = _components(own.select("row", F.col(f"c{names.index(id_col)}").cast("long").alias("id"), F.col(f"c{names.index(text_col)}").alias("text")), percent, width)
-    gone = found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("row")
-    return own.join(gone, "row", "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    own = identified(docs)
+    found = _components(docs, percent, width, id_col, text_col, own)
+    gone = stage(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("f", "r"), "gone")
+    return own.join(gone, ["f", "r"], "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
