@@ -12,7 +12,7 @@ from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Bytes of text in a shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 1 << 20
 
 
 def vocabulary(name: str) -> str:

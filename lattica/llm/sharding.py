@@ -1,26 +1,28 @@
 """Sharding by extendible hashing.
 
-The directory is indexed by hash-prefix bits. It starts with as few bits as
-could do if all went evenly, and only buckets that hold more bytes than a shard
-may are split, on the next bit of the hash, until each fits. The splitting works
-on a histogram of hash cells (a few cells for each shard to be), so the
-documents are read once and no text is shuffled. A cell that is itself too large
-is counted again with more bits, from its own documents only.
+The directory is indexed by hash-prefix bits. A bucket that holds more bytes than
+a shard may is split on the next bit of the hash, until each fits. All buckets
+that any split could make are nodes of one binary tree over a histogram of
+hash cells (a few cells for each shard to be): sums are taken from the cells upwards,
+and a node is a shard where it fits and the node above does not. So the
+documents are read once, no text is shuffled, and no step needs a bucket's cells
+together. A cell that is itself too large is counted again with more bits, from its own
+documents only.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import identified, running_totals, stage
 
 #: Bits of hash that the directory can use: those of 15 hexadecimal digits.
 BITS = 60
-#: Histogram cells for each shard, as a power of two.
-SPARE_BITS = 5
+#: Histogram cells for each shard, as a power of two; levels of the tree that are summed in one step.
+SPARE_BITS, STRIDE = 5, 4
 
 
 def key_hash(key: Column) -> Column:
@@ -32,7 +34,51 @@ def _prefix(bits: int) -> Column:
     return F.shiftright(F.col("hash"), BITS - bits)
 
 
-def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+def _tree(cells: DataFrame, bits: int, top: int) -> DataFrame:
+    """depth, prefix, b, n of each node above the cells (prefix of `bits` bits, b, n) down from depth top.
+
+    Each step sums STRIDE levels from the one below them, so all steps together
+    read a little more than the cells, and none needs more than two rows of a node at a time.
+    """
+    out, base, depth = cells.select(F.lit(bits).alias("depth"), "prefix", "b", "n"), cells, bits
+    while depth > top:
+        rise = min(STRIDE, depth - top)
+        up = base.withColumn("up", F.explode(F.sequence(F.lit(1), F.lit(rise))))
+        up = up.groupBy((F.lit(depth) - F.col("up")).alias("depth"), F.expr("shiftright(prefix, up)").alias("prefix")).agg(F.sum("b").alias("b"), F.sum("n").alias("n"))
+        up, depth = stage(up, "levels"), depth - rise
+        out, base = out.unionByName(up), up.where(F.col("depth") == depth).drop("depth")
+    return stage(out, "tree")
+
+
+def _directory(rows: DataFrame, limit: int) -> list[tuple[int, DataFrame]]:
+    """The directory of rows (hash, n_bytes): bits, and for each prefix of so many the depth, bucket, bucket_bytes, bucket_docs of its shard.
+
+    One entry, and one more for each time that cells were too large.
+    """
+    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
+    bits, top, todo, found = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + SPARE_BITS), 0, rows, []
+    while True:
+        cells = stage(todo.groupBy(_prefix(bits).alias("prefix")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n")), "cells")
+        nodes = _tree(cells, bits, top)
+        fits = F.col("b") <= limit if bits < BITS else (F.col("b") <= limit) | (F.col("depth") == BITS)
+        # A node above that is too large; at the top of the tree it is known to be, or there is none.
+        large = nodes.where(F.col("b") > limit).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("above"))
+        below = nodes.where(fits).withColumn("above", F.expr("shiftright(prefix, 1)"))
+        shards = below.where(F.col("depth") > top).join(large, ["depth", "above"], "left_semi").unionByName(below.where(F.col("depth") == top))
+        shards = stage(shards.select("depth", F.col("prefix").alias("bucket"), F.col("b").alias("bucket_bytes"), F.col("n").alias("bucket_docs")), "shards")
+        depths = sorted(r[0] for r in shards.select("depth").distinct().collect())  # at most BITS + 1 numbers
+        # A cell asks for its shard once a depth; at most one of them is there.
+        asks = cells.select("prefix", F.explode(F.array(*map(F.lit, depths)).cast("array<int>")).alias("depth")).withColumn("bucket", F.expr(f"shiftright(prefix, {bits} - depth)"))
+        found.append((bits, stage(asks.join(shards, ["depth", "bucket"]), "directory")))
+        over = stage(nodes.where((F.col("depth") == bits) & (F.col("b") > limit)).select("prefix"), "over")
+        if bits == BITS or not over.take(1):
+            return found
+        todo = todo.withColumn("prefix", _prefix(bits)).join(over, "prefix", "left_semi").drop("prefix")
+        # The next tree starts at the cells that were too large, one level above those that may be shards.
+        top, bits = bits, min(BITS, bits + 12)
+
+
+def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id_col, n_bytes, shard, depth, part, shard_bytes, shard_docs.
 
     shard is the prefix of the key's hash as `depth` binary digits ("" at depth
@@ -41,73 +87,58 @@ def assign_shards(docs: DataFrame, *, limit: int, id_col: str = "doc_id", text_c
     too large, its rows are chained as parts 0, 1, ... of at most limit bytes, in
     order of size, and shard_bytes is the part's. A single row above the limit
     is a part of its own, the one case above the limit. Null identifiers
-    share the key "". An empty table gives an empty result. Columns in carry
-    travel with their row.
+    share the key "". An empty table gives an empty result; further columns, of whatever name, play no part.
     """
+    found = _assigned(identified(docs), docs.columns.index(id_col), docs.columns.index(text_col), limit)
+    return found.select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs")
+
+
+def _assigned(own: DataFrame, id_at: int, text_at: int, limit: int) -> DataFrame:
+    """f, r, id, n_bytes, shard, depth, part, shard_bytes, shard_docs of each of the rows f, r, c0, c1, ..."""
     if limit < 1:
         raise ValueError("limit is at least 1 byte")
-    rows = stage(docs.select(F.col(id_col).alias("id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), key_hash(F.col(id_col)).alias("hash"), *carry), "keys")
-    total = rows.agg(F.sum("n_bytes")).first()[0] or 0
-    low = max(0, math.ceil(math.log2(max(1, total / limit))))
-    done: list[DataFrame] = []
-    todo, bits = rows, min(BITS, low + SPARE_BITS)
-    depth = 0
-    while True:
-        cells = stage(todo.groupBy(_prefix(bits).alias("cell")).agg(F.sum("n_bytes").alias("b"), F.count("*").alias("n")), "cells")
-        # Each round splits the buckets that are still too large on one more bit.
-        left = cells
-        while True:
-            over = Window.partitionBy("bucket")
-            left = left.withColumn("bucket", F.shiftright("cell", bits - depth)).withColumns({"bb": F.sum("b").over(over), "nn": F.sum("n").over(over)})
-            fits = F.col("bb") <= limit if depth < BITS else F.lit(True)
-            done.append(left.where(fits).select("cell", F.lit(bits).alias("bits"), F.lit(depth).alias("depth"), F.col("bucket").cast("long"), F.col("bb").alias("bucket_bytes"), F.col("nn").alias("bucket_docs")))
-            left = left.where(~fits).select("cell", "b", "n")
-            if depth == bits:
-                break
-            depth += 1
-        large = stage(left.select("cell"), "large")
-        if bits == BITS or not large.take(1):
-            break
-        todo = todo.withColumn("cell", _prefix(bits)).join(large, "cell", "left_semi").drop("cell")
-        depth, bits = bits + 1, min(BITS, bits + 12)
-    directory = done[0]
-    for d in done[1:]:
-        directory = directory.unionByName(d)
-    directory = stage(directory, "directory")
+    key, text = F.col(f"c{id_at}"), F.col(f"c{text_at}")
+    rows = stage(own.select("f", "r", key.alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"), key_hash(key).alias("hash")), "keys")
     found = None
-    for b in [r[0] for r in directory.select("bits").distinct().collect()]:  # one, unless cells were too large
-        part = rows.withColumn("cell", _prefix(b)).join(directory.where(F.col("bits") == b), "cell")
+    for bits, directory in _directory(rows, limit):
+        part = rows.withColumn("prefix", _prefix(bits)).join(directory, "prefix")
         found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = rows.withColumn("cell", F.col("hash")).join(directory, "cell")
     label = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(bin(bucket), depth, '0')"))
-    fit = found.where(F.col("bucket_bytes") <= limit).select("id", "n_bytes", label.alias("shard"), "depth", F.lit(0).cast("long").alias("part"), F.col("bucket_bytes").alias("shard_bytes"), F.col("bucket_docs").alias("shard_docs"), *carry)
-    chain = _chained(found.where(F.col("bucket_bytes") > limit), limit, label, carry)
-    return fit.unionByName(chain).select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs", *carry)
+    fit = found.where(F.col("bucket_bytes") <= limit).select("f", "r", "id", "n_bytes", label.alias("shard"), "depth", F.lit(0).cast("long").alias("part"), F.col("bucket_bytes").alias("shard_bytes"), F.col("bucket_docs").alias("shard_docs"))
+    return fit.unionByName(_chained(found.where(F.col("bucket_bytes") > limit), limit, label))
 
 
-def _chained(rows: DataFrame, limit: int, label: Column, carry: tuple[str, ...]) -> DataFrame:
+def _chained(rows: DataFrame, limit: int, label: Column) -> DataFrame:
     """Rows of one key that overflow: consecutive parts, cut wherever the running total passes a multiple of half the limit.
 
     A row of more than half the limit is a part of its own, so no other part exceeds the limit.
+    The running totals are of range-sorted parts, so rows of one key never meet in one task.
     """
     half = F.lit(max(1, limit // 2))
     own = F.col("n_bytes") * 2 > limit
-    order = Window.partitionBy("shard", "large").orderBy("n_bytes").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.select("id", "n_bytes", label.alias("shard"), "depth", own.alias("large"), *carry)
-    before = F.coalesce(F.sum("n_bytes").over(order), F.lit(0))
-    rows = rows.withColumn("part", F.when(F.col("large"), -1 - F.coalesce(F.count("*").over(order), F.lit(0))).otherwise(F.floor(before / half)).cast("long"))
-    each = Window.partitionBy("shard", "part")
-    return rows.select("id", "n_bytes", "shard", "depth", "part", F.sum("n_bytes").over(each).alias("shard_bytes"), F.count("*").over(each).alias("shard_docs"), *carry)
+    rows = rows.select("f", "r", "id", "n_bytes", label.alias("shard"), "depth", own.alias("large"))
+    # Large rows are counted, the others' bytes added up.
+    rows = running_totals(rows.withColumn("step", F.when(own, 1).otherwise(F.col("n_bytes")).cast("long")), ["shard", "large"], ["n_bytes", "f", "r"], "step", "chains").drop("part")
+    rows = rows.withColumn("part", F.when(F.col("large"), -1 - F.col("before")).otherwise(F.floor(F.col("before") / half)).cast("long"))
+    sums = rows.groupBy("shard", "part").agg(F.sum("n_bytes").alias("shard_bytes"), F.count("*").alias("shard_docs"))
+    return rows.join(sums, ["shard", "part"]).select("f", "r", "id", "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs")
 
 
 def write_shards(docs: DataFrame, path: str, *, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write docs as Parquet, one folder a shard below path, and return the assignment. Each row goes to its own part, numbered in a staged copy."""
-    docs = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    shards = stage(assign_shards(docs, limit=limit, id_col=id_col, text_col=text_col, carry=("_row",)), "shards")
-    out = docs.join(shards.select("_row", "shard", "part"), "_row").drop("_row")
+    """Write docs as Parquet, one folder a shard and part below path, and return the assignment.
+
+    Rows go by their place in the input, so rows of one key are written once each. The folders are
+    named by shard and part; where docs has columns of these names,
+    its columns are the fields of one column "row".
+    """
+    names = docs.columns
+    own = identified(docs)
+    shards = stage(_assigned(own, names.index(id_col), names.index(text_col), limit), "shards")
+    clash = {c.lower() for c in names} & {"shard", "part"}
+    kept = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    out = own.join(shards.select("f", "r", "shard", "part"), ["f", "r"]).select("shard", "part", *([F.struct(*kept).alias("row")] if clash else kept))
     out.repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
-    return shards.drop("_row")
+    return shards.select(F.col("id").alias(id_col), "n_bytes", "shard", "depth", "part", "shard_bytes", "shard_docs")
 
 
 ORACLE = """

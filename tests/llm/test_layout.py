@@ -126,6 +126,27 @@ def test_shards(spark):
             assert sum(r["n_bytes"] for r in got if r["shard"].startswith(shard[:-1])) > 9_000
 
 
+@pytest.mark.parametrize("bits", [0, 2])
+def test_shards_deep(spark, monkeypatch, bits):
+    """Cells too large for a shard are counted again with more bits."""
+    monkeypatch.setattr(sharding, "SPARE_BITS", bits)
+    data = [(i, "x" * (i % 50), None, None) for i in range(400)] + [(7, "z" * 90, None, None)] * 4
+    got = sharding.assign_shards(corpus.frame(spark, data), limit=100).collect()
+    shards = defaultdict(list)
+    for r in got:
+        shards[r["shard"], r["part"]].append(r["n_bytes"])
+    assert len(got) == len(data) and all(sum(x) <= 100 for x in shards.values())
+    for shard, _ in shards:
+        assert not shard or sum(r["n_bytes"] for r in got if r["shard"].startswith(shard[:-1])) > 100
+
+
+def test_write_shards_with_clashing_names(spark, tmp_path):
+    docs = corpus.frame(spark, [(i, "abc " * i, "en", "a") for i in range(30)]).withColumnRenamed("lang", "shard").withColumnRenamed("t", "Part").withColumnRenamed("source", "f")
+    assert sharding.write_shards(docs, str(tmp_path / "out"), limit=300).count() == 30
+    back = spark.read.option("basePath", str(tmp_path / "out")).parquet(str(tmp_path / "out"))
+    assert sorted((r["row"]["doc_id"], r["row"]["shard"], r["row"]["Part"]) for r in back.collect()) == [(i, "en", "x") for i in range(30)]
+
+
 def test_shards_of_one_key(spark):
     data = [(7, "x" * n, None, None) for n in (10, 20, 30, 40, 50, 60, 200, 0)] + [(8, "y" * 5, None, None)]
     got = sharding.assign_shards(corpus.frame(spark, data), limit=100).collect()
