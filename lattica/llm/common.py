@@ -129,3 +129,43 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
+
+
+class KeyTable:
+    """Numbers for 64-bit keys (not negative), 0, 1, ... in the order of their first sight: a hash table that is looked up by arrays."""
+
+    def __init__(self, slots: int = 1 << 16):
+        self.size = 0
+        self._room(slots)
+
+    def _room(self, slots: int) -> None:
+        old = [x[self._rows >= 0].tolist() for x in (self._keys, self._rows)] if self.size else [[], []]
+        self._keys, self._rows, self._shift = np.full(slots, -1, np.int64), np.full(slots, -1, np.int32), 64 - (slots.bit_length() - 1)
+        for key, row in zip(*old, strict=True):
+            self._put(key, row)
+
+    def _put(self, key: int, row: int) -> None:
+        at = (key * self.SPREAD & (1 << 64) - 1) >> self._shift
+        while self._rows[at] >= 0:
+            at = (at + 1) & (len(self._rows) - 1)
+        self._keys[at], self._rows[at] = key, row
+
+    SPREAD = 0x9E3779B97F4A7C15
+
+    def add(self, key: int) -> int:
+        """The number of a key that is not there yet."""
+        if 3 * self.size >= len(self._rows):
+            self._room(2 * len(self._rows))
+        self._put(key, self.size)
+        self.size += 1
+        return self.size - 1
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The keys' numbers, -1 where there is none."""
+        at = (keys.astype(np.uint64) * np.uint64(self.SPREAD) >> np.uint64(self._shift)).astype(np.int64)
+        left = np.flatnonzero(self._keys[at] != keys)
+        while len(left):
+            left = left[self._rows[at[left]] >= 0]  # an empty slot ends the search
+            at[left] = (at[left] + 1) & (len(self._rows) - 1)
+            left = left[self._keys[at[left]] != keys[left]]
+        return self._rows[at]

@@ -5,139 +5,155 @@ counts of what followed them in its training texts. The code length of a byte is
 that in its longest known context: -log2(count / (total + distinct)) if the byte
 was seen there, else the escape, -log2(distinct / (total + distinct)), plus its
 length in the context one byte shorter; below the empty context all 256 bytes
-are alike. The statistics are frozen, so the lengths of a context are a fixed row of
-256 numbers a language; they are kept in 1/4096 bits as integers, so sums are
+are alike. The statistics are frozen; lengths are kept in 1/4096 bits as integers, so sums are
 exact whatever the order. The language with the shortest code wins.
 
-Training reads a bounded sample: see SAMPLE_DOCS and SAMPLE_BYTES.
+Training reads a bounded sample of labelled rows, SAMPLE_DOCS of each language;
+the trees have every context that these show. They are counted where the
+rows are: what reaches the driver is a tree's deepest level, from which the others
+follow, as sorted arrays. A worker looks up each string of ORDER + 1 bytes that it meets in each
+language's tree once, and remembers what it found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import KeyTable, blocks
 
-#: Bytes of context.
+#: Bytes of context; a string of them and the byte after is a number of 32 bits.
 ORDER = 3
-#: Documents of each language that training reads, those of least hash; of them only texts of at most SAMPLE_BYTES.
-SAMPLE_DOCS, SAMPLE_BYTES = 600, 20_000
-#: Context strings that the frozen trees keep, the most frequent ones, beside the empty context and the single bytes.
-CONTEXTS = 12_000
-#: Bytes that are scored at once.
-BLOCK = 1 << 20
+#: Labelled documents of each language that training reads, whole, whatever their length: those of least hash.
+SAMPLE_DOCS = 600
+#: Bytes that are scored at once, and lengths that a worker remembers.
+BLOCK, MEMO = 1 << 20, 8 << 20
 UNIT = 4096
 UNDETERMINED = "und"
 
 
+def grams_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """In blocks: the number of each byte with the ORDER before it, and the text that it is of. A text starts as if after line ends."""
+    pieces = []
+    for i, t in enumerate(texts):
+        for s in range(0, len(t), BLOCK):
+            lead = t[s - ORDER : s] if s >= ORDER else b"\n" * ORDER
+            pieces.append((i, lead + t[s : s + BLOCK]))
+    for a, b in blocks([len(p) for _, p in pieces], BLOCK):
+        data = np.frombuffer(b"".join(p for _, p in pieces[a:b]), np.uint8).astype(np.int64)
+        key = np.zeros(len(data) - ORDER, np.int64)
+        for j in range(ORDER + 1):
+            key = key << 8 | data[j : len(data) - ORDER + j]
+        n = np.array([len(p) - ORDER for _, p in pieces[a:b]])
+        own = np.repeat(np.cumsum(n + ORDER) - n - ORDER - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        yield key[own], np.repeat([i for i, _ in pieces[a:b]], n)
+
+
+@dataclass
+class Tree:
+    """Of each order: the strings seen (context and byte) with their lengths, the contexts with their escapes, all sorted."""
+
+    strings: list[np.ndarray]
+    lengths: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    @classmethod
+    def of(cls, keys: np.ndarray, counts: np.ndarray) -> Tree:
+        """From the counts of the strings of ORDER + 1 bytes."""
+        out = cls([], [], [], [])
+        for order in range(ORDER + 1):
+            strings, of = np.unique(keys & (1 << 8 * (order + 1)) - 1, return_inverse=True)
+            n = np.bincount(of, counts, len(strings))
+            contexts, of = np.unique(strings >> 8, return_inverse=True)
+            distinct = np.bincount(of, minlength=len(contexts))
+            total = np.bincount(of, n, len(contexts)) + distinct
+            out.strings.append(strings)
+            out.lengths.append(np.rint(-np.log2(n / total[of]) * UNIT).astype(np.int32))
+            out.contexts.append(contexts)
+            out.escapes.append(np.rint(-np.log2(distinct / total) * UNIT).astype(np.int32))
+        return out
+
+    def code(self, keys: np.ndarray) -> np.ndarray:
+        """The code length of the last byte of each of the strings of ORDER + 1 bytes, in 1/UNIT bits."""
+        out = np.full(len(keys), 8 * UNIT, np.int32)
+        for order in range(ORDER + 1):
+            own = keys & (1 << 8 * (order + 1)) - 1
+            seen, at = _placed(self.strings[order], own)
+            known, context = _placed(self.contexts[order], own >> 8)
+            out = np.where(seen, self.lengths[order][at], np.where(known, out + self.escapes[order][context], out))
+        return out
+
+
+def _placed(among: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key is among the sorted ones, and where."""
+    at = np.minimum(np.searchsorted(among, keys), len(among) - 1)
+    return among[at] == keys, at
+
+
 @dataclass
 class Model:
-    """languages; nodes: context strings; costs: [node, byte, language] in 1/UNIT bits."""
+    """The languages' trees, and what this worker remembers of them."""
 
     languages: list[str]
-    nodes: list[bytes]
-    costs: np.ndarray
-
-
-def train(texts: list[tuple[str, bytes]], contexts: int = CONTEXTS) -> Model:
-    """Freeze the trees of all languages over one common set of contexts, closed under dropping the first byte."""
-    languages = sorted({lang for lang, _ in texts})
-    counts: list[list[dict[bytes, np.ndarray]]] = []
-    total: dict[bytes, int] = {}
-    for lang in languages:
-        joined = b"".join(b"\n" * ORDER + t for k, t in texts if k == lang)
-        data = np.frombuffer(joined, np.uint8).astype(np.int64)
-        levels = []
-        for order in range(ORDER + 1):
-            key = np.zeros(len(data) - ORDER, np.int64)
-            for j in range(order + 1):
-                key = key * 256 + data[ORDER - order + j : len(data) - order + j] if order else data[ORDER:]
-            grams, n = np.unique(key, return_counts=True)
-            seen: dict[bytes, dict[int, int]] = {}
-            for g, c in zip(grams.tolist(), n.tolist(), strict=True):
-                s = g.to_bytes(order + 1, "big")
-                seen.setdefault(s[:-1], {})[s[-1]] = c
-            for s, f in seen.items():
-                total[s] = total.get(s, 0) + sum(f.values())
-            levels.append(seen)
-        counts.append(levels)
-    kept = {b""}
-    for s in sorted((s for s in total if s), key=lambda s: (-total[s], s)):
-        if len(kept) > contexts:
-            break
-        kept.update(s[i:] for i in range(len(s)))
-    nodes = sorted(kept, key=lambda s: (len(s), s))
-    place = {s: i for i, s in enumerate(nodes)}
-    costs = np.empty((len(nodes), 256, max(1, len(languages))), np.float64)
-    costs[:] = 8.0
-    for k, levels in enumerate(counts):
-        for i, s in enumerate(nodes):  # shorter contexts come first
-            row = costs[place[s[1:]], :, k].copy() if s else np.full(256, 8.0)
-            seen = levels[len(s)].get(s)
-            if seen:
-                n = sum(seen.values()) + len(seen)
-                row += -np.log2(len(seen) / n)
-                for b, c in seen.items():
-                    row[b] = -np.log2(c / n)
-            costs[i, :, k] = row
-    return Model(languages, nodes, np.rint(costs * UNIT).astype(np.int32))
-
-
-class Scorer:
-    def __init__(self, model: Model):
-        self.languages = model.languages
-        # Bytes outside all kept contexts that cost the same everywhere share a column: the tables stay small enough for the cache.
-        own = {b for c in model.nodes for b in c}
-        first: dict[object, int] = {}
-        self.column = np.array([first.setdefault(b if b in own else model.costs[:, b, :].tobytes(), len(first)) for b in range(256)], np.int64)
-        self.width = len(first)
-        shown = [int(np.argmax(self.column == i)) for i in range(self.width)]
-        self.costs = np.ascontiguousarray(model.costs[:, shown, :]).reshape(-1, model.costs.shape[2])
-        # The context of a place is the longest kept suffix of its last ORDER bytes, looked up by their columns.
-        place = {s: i for i, s in enumerate(model.nodes)}
-        w, shape = self.width, [self.width] * ORDER
-        context = np.zeros(shape, np.int32)
-        for s in model.nodes:  # shorter first, so longer ones overwrite
-            at = (Ellipsis, *[int(self.column[b]) for b in s])
-            context[at] = place[s]
-        self.context = context.ravel() * w
+    trees: list[Tree]
+    table: KeyTable = field(default_factory=KeyTable)
+    memo: np.ndarray | None = None
 
     def lengths(self, texts: list[bytes]) -> np.ndarray:
-        """Code length of each text for each language, in 1/UNIT bits. A text starts as if after line ends."""
-        out = np.zeros((len(texts), self.costs.shape[1]), np.int64)
-        for a, b in blocks([len(t) for t in texts], BLOCK):
-            pad = b"\n" * ORDER
-            data = self.column[np.frombuffer(b"".join(pad + t for t in texts[a:b]), np.uint8)]
-            key = np.zeros(len(data) - ORDER, np.int64)
-            for j in range(ORDER):
-                key *= self.width
-                key += data[j : len(data) - ORDER + j]
-            at = self.context[key] + data[ORDER:]
-            ends = np.cumsum([len(t) + ORDER for t in texts[a:b]]) - ORDER
-            starts = np.concatenate([[0], ends[:-1] + ORDER])
-            for k in range(out.shape[1]):
-                sums = np.concatenate([[0], np.cumsum(self.costs[:, k][at], dtype=np.int64)])
-                out[a:b, k] = sums[ends] - sums[starts]
+        """Code length of each text for each language, in 1/UNIT bits."""
+        out = np.zeros((len(texts), len(self.trees)), np.int64)
+        for keys, of in grams_of(texts):
+            if not self.trees:
+                break
+            found = self.table.find(keys)
+            if (found < 0).any():
+                self.learn(np.unique(keys[found < 0]))
+                found = self.table.find(keys)
+            starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+            for k, row in enumerate(self.memo):
+                out[of[starts], k] += np.add.reduceat(row[found], starts, dtype=np.int64)
+            if self.memo.size > MEMO:
+                self.table, self.memo = KeyTable(), None
         return out
 
+    def learn(self, keys: np.ndarray) -> None:
+        new = np.stack([tree.code(keys) for tree in self.trees])
+        for key in keys.tolist():
+            self.table.add(key)
+        self.memo = new if self.memo is None else np.concatenate([self.memo, new], axis=1)
+
+
+def train(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
+    """From each language's counts of strings of ORDER + 1 bytes."""
+    return Model([lang for lang, _, _ in counts], [Tree.of(keys, n) for _, keys, n in counts])
+
+
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns lang, text: how often each string of ORDER + 1 bytes stands in each language's texts."""
+    for batch in batches:
+        for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+            for keys, _ in grams_of([text.encode()]):
+                found, n = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "gram", "n"])
+
 
 def predict_batches(sent, keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    scorer = sent.value
+    model = sent.value
     for batch in batches:
         texts = [t or "" for t in batch[1].to_pylist()]
-        lengths = scorer.lengths([t.encode() for t in texts])
+        lengths = model.lengths([t.encode() for t in texts]) if model.languages else np.zeros((len(texts), 1), np.int64)
         best = lengths.argmin(axis=1)
         lead = lengths - lengths[np.arange(len(best)), best][:, None]
         score = 1 / np.exp2(-np.minimum(lead / UNIT, 1000.0)).sum(axis=1)
         letter = np.array([has_letter(t) for t in texts], bool)
-        known = letter & bool(scorer.languages)
-        names = [scorer.languages[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known.tolist(), strict=True)]
+        known = letter & bool(model.languages)
+        names = [model.languages[i] if k else UNDETERMINED for i, k in zip(best.tolist(), known.tolist(), strict=True)]
         own = [i for i in range(batch.num_columns) if i != 1 or keep_text]
         yield pa.RecordBatch.from_arrays([*(batch[i] for i in own), pa.array(names, pa.string()), pa.array(np.where(known, score, 0.0)), pa.array(letter)], [*(batch.schema.names[i] for i in own), "lang_pred", "score", "letter"])
 
@@ -154,12 +170,11 @@ def bucket(id_col: str | Column, modulus: int) -> Column:
 def fit(docs: DataFrame, train_on: Column, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Train on at most SAMPLE_DOCS documents of each language among the rows of train_on that have one.
 
-    What reaches the driver is bounded by SAMPLE_DOCS * SAMPLE_BYTES a
-    language; the choice is by a hash of the identifier, so reruns agree.
+    The choice is by a hash of the identifier, so reruns agree. Null and empty texts are not chosen.
     """
-    rows = docs.where(train_on & F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= SAMPLE_BYTES))
+    rows = docs.where(train_on & F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
     rows = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    n = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    n = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}  # one row a language
     if not n:
         return train([])
     # A hash threshold for each language lets about twice the sample through, so the window below sorts no more than that.
@@ -169,7 +184,11 @@ def fit(docs: DataFrame, train_on: Column, *, id_col: str = "doc_id", text_col:
         cut = cut | ((F.col("lang") == lang) & (F.pmod("h", F.lit(1 << 30)) <= int(share * (1 << 30))))
     order = Window.partitionBy("lang").orderBy("h", "text")
     sample = rows.where(cut).withColumn("k", F.row_number().over(order)).where(F.col("k") <= SAMPLE_DOCS)
-    return train([(r["lang"], r["text"].encode()) for r in sample.select("lang", "text").collect()])
+    # Spread first, or each language's texts would be counted in one task.
+    spread = sample.select("lang", "text").repartition(F.xxhash64("text"))
+    found = spread.mapInArrow(count_batches, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
+    langs, grams, counts = np.array(found["lang"].to_pylist(), object), found["gram"].to_numpy(), found["n"].to_numpy()
+    return train([(lang, grams[langs == lang], counts[langs == lang]) for lang in sorted(set(langs))])
 
 
 def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), lettered: bool = False) -> DataFrame:
@@ -182,7 +201,7 @@ def predict(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col:
     independent, so repeated rows and null identifiers need no care. lettered:
     only rows whose text has a letter, whether or not anything was learned.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))  # bounded by CONTEXTS
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by SAMPLE_DOCS a language
     place = {c: f"c{i}" for i, c in enumerate(dict.fromkeys([id_col, *carry])) if c != text_col} | {text_col: "t"}
     own = docs.select(F.col(f"`{id_col}`").alias(place[id_col]), F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(k) for c, k in place.items() if c not in (id_col, text_col)])
     keep_text = text_col in carry

@@ -39,6 +39,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 
 from .byte_bpe import byte_chars
+from .common import KeyTable
 
 #: States of the second transducer and token pairs that a worker remembers; beyond, it forgets them all and starts anew.
 MAX_STATES, MEMO_PAIRS = 250_000, 500_000
@@ -46,8 +47,6 @@ MAX_STATES, MEMO_PAIRS = 250_000, 500_000
 BLOCK, LANES = 2 << 20, 4096
 #: Bytes from which a word is read by itself: it would hold up the chunks beside its own.
 LONG = 2048
-#: Spreads transitions over the table.
-HASH = 0x9E3779B97F4A7C15
 #: The second transducer's symbol at a word's end, after the 256 bytes, and the bits of a symbol.
 END, SYMBOL_BITS = 256, 9
 
@@ -177,15 +176,8 @@ class MergeTransducer:
         #: A state: the bytes from its first open place on, then of each open place its distance, last token and outstanding tokens.
         self.states: list[tuple] = [(b"", (0, -1, 0))]
         self.number = {self.states[0]: 0}
-        self.size = 0
-        self.room(1 << 16)
-
-    def room(self, slots: int) -> None:
-        old = [x[self.keys >= 0].tolist() for x in (self.keys, self.after, self.emits)] if self.size else []
-        self.keys, self.after, self.emits = np.full(slots, -1, np.int64), np.zeros(slots, np.int32), np.zeros(slots, np.int16)
-        self.shift = np.uint64(64 - (slots.bit_length() - 1))
-        for transition in zip(*old, strict=True):
-            self.put(*transition)
+        self.known = KeyTable()
+        self.after, self.emits = np.zeros(1 << 14, np.int32), np.zeros(1 << 14, np.int16)
 
     def symbols(self, token: str) -> list[str]:
         body = token.removesuffix(self.suffix)
@@ -259,28 +251,18 @@ class MergeTransducer:
             self.states.append(key)
         return to, out
 
-    def put(self, key: int, after: int, emits: int) -> None:
-        at = (key * HASH & (1 << 64) - 1) >> int(self.shift)
-        while self.keys[at] >= 0:
-            at = (at + 1) & (len(self.keys) - 1)
-        self.keys[at], self.after[at], self.emits[at] = key, after, emits
-
     def find(self, keys: np.ndarray) -> np.ndarray:
-        """The places of the transitions (state << SYMBOL_BITS | symbol); missing ones are compiled."""
-        at = (keys.astype(np.uint64) * np.uint64(HASH) >> self.shift).astype(np.int64)
-        left = np.flatnonzero(self.keys[at] != keys)
-        while len(left):
-            empty = left[self.keys[at[left]] < 0]
-            if len(empty):
-                for key in np.unique(keys[empty]).tolist():
-                    self.put(key, *self.compile(key >> SYMBOL_BITS, key & (1 << SYMBOL_BITS) - 1))
-                    self.size += 1
-                if 3 * self.size > len(self.keys):
-                    self.room(2 * len(self.keys))
-                return self.find(keys)
-            at[left] = (at[left] + 1) & (len(self.keys) - 1)
-            left = left[self.keys[at[left]] != keys[left]]
-        return at
+        """The numbers of the transitions (state << SYMBOL_BITS | symbol); missing ones are compiled."""
+        found = self.known.find(keys)
+        missing = keys[found < 0]
+        if len(missing):
+            for key in np.unique(missing).tolist():
+                i = self.known.add(key)
+                if i == len(self.after):
+                    self.after, self.emits = np.append(self.after, np.zeros_like(self.after)), np.append(self.emits, np.zeros_like(self.emits))
+                self.after[i], self.emits[i] = self.compile(key >> SYMBOL_BITS, key & (1 << SYMBOL_BITS) - 1)
+            found = self.known.find(keys)
+        return found
 
     def read(self, symbols: np.ndarray, opens: np.ndarray) -> np.ndarray:
         """The tokens that each symbol's transition emits. opens: where words start; the last symbol is END."""

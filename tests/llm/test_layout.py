@@ -202,7 +202,7 @@ def test_language_stage_without_languages(spark, tmp_path):
     """Where no language can be learned only null and letterless texts go."""
     step = dict(corpus_pipeline.STAGES)["language_id"]
     rows = [(1, "some words", None, "a"), (2, "12 - 34", None, "a"), (3, None, None, "a"), (4, "", None, "b"), (None, "été", None, None), (5, "long " * 5000, None, "b")]
-    for lang in (None, "en"):  # "en": the only labelled text is of over 20,000 bytes
+    for lang in (None, "en"):  # "en": there is one labelled text, a long one
         docs = corpus.frame(spark, [(i, t, lang if i == 5 else x, s) for i, t, x, s in rows])
         assert sorted(str(r["doc_id"]) for r in step(spark, docs, str(tmp_path)).collect()) == ["1", "5", "None"]
     assert step(spark, docs, str(tmp_path)).columns == docs.columns

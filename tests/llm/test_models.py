@@ -42,24 +42,70 @@ def test_language(spark, tmp_path):
     assert none["lang_pred"] == "und" and none["score"] == 0.0
 
 
-def test_code_lengths():
-    """The tables against a plain walk through the contexts."""
-    texts = [("en", b"the cat and the hat and the bat"), ("fr", "le chat et le été".encode()), ("en", b"then there")]
-    model = language_id.train(texts, contexts=25)
-    scorer = language_id.Scorer(model)
-    probe = [b"", b"the", "été xyz".encode(), bytes(range(256))]
-    got = scorer.lengths(probe)
-    place = {s: i for i, s in enumerate(model.nodes)}
-    for t, row in zip(probe, got, strict=True):
-        padded, total = b"\n" * language_id.ORDER + t, np.zeros(2, np.int64)
-        for k in range(language_id.ORDER, len(padded)):
-            c = padded[k - language_id.ORDER : k]
-            while c not in place:
-                c = c[1:]
-            total += model.costs[place[c], padded[k]]
-        assert row.tolist() == total.tolist()
+def plain_lengths(training, text):
+    """Code length of a text for each language, from counts in dictionaries and the rule as it is stated."""
+    out = {}
+    for lang in sorted(training):
+        seen = {}
+        for t in training[lang]:
+            padded = b"\n" * 3 + t
+            for k in range(3, len(padded)):
+                for order in range(4):
+                    follow = seen.setdefault(padded[k - order : k], Counter())
+                    follow[padded[k]] += 1
+
+        def length(context, byte, seen=seen):
+            if context in seen:
+                follow = seen[context]
+                total = sum(follow.values()) + len(follow)
+                if byte in follow:
+                    return round(-math.log2(follow[byte] / total) * 4096)
+                rest = length(context[1:], byte) if context else 8 * 4096
+                return round(-math.log2(len(follow) / total) * 4096) + rest
+            return length(context[1:], byte)
+
+        padded = b"\n" * 3 + text
+        out[lang] = sum(length(padded[k - 3 : k], padded[k]) for k in range(3, len(padded)))
+    return out
+
+
+def grams(texts):
+    parts = [k for k, _ in language_id.grams_of(texts)]
+    return np.unique(np.concatenate(parts), return_counts=True)
+
+
+def test_code_lengths(monkeypatch):
+    """The trees against plain counting, in blocks of any size and with a full memory."""
+    training = {"en": [b"the cat and the hat and the bat", b"then there"], "fr": ["le chat et le été".encode(), b"x"]}
+    probe = [b"", b"the", "été xyz".encode(), bytes(range(256)), b"the the the cat" * 20, b"q"]
+    want = [[*plain_lengths(training, t).values()] for t in probe]
+    model = lambda: language_id.train([(k, *grams(v)) for k, v in sorted(training.items())])
+    assert model().lengths(probe).tolist() == want
+    monkeypatch.setattr(language_id, "BLOCK", 5)
+    assert model().lengths(probe).tolist() == want
+    monkeypatch.setattr(language_id, "MEMO", 10)
+    assert model().lengths(probe * 2).tolist() == want * 2
     # Code lengths never promise more than there is: what a context codes for sums to one at most.
-    assert (np.exp2(-model.costs / language_id.UNIT).sum(axis=1) < 1.01).all()
+    for tree in model().trees:
+        for context in (0, 0x746865, 0x0A0A0A, 0xFFFFFF):
+            assert np.exp2(-tree.code(np.arange(256) + (context << 8)) / language_id.UNIT).sum() < 1.01
+
+
+def test_language_query_by_hand(spark, tmp_path):
+    """The registered query against the plain rule: all labelled rows out of the fold train, long ones too, where they are few."""
+    rng = random.Random(3)
+    data = [(i, corpus.prose(rng, lang, 30 if i % 7 else 2500), lang, "a") for i in range(70) for lang in [rng.choice(["en", "fr", "de"])]]
+    training = {}
+    for i, t, lang, _ in data:
+        if crc(i) % 5:
+            training.setdefault(lang, []).append(t.encode())
+    for r in queries.op8_language_id(spark, corpus.parquet(spark, data, tmp_path)).collect():
+        text = data[r["doc_id"]][1]
+        if len(text) < 1000:
+            lengths = plain_lengths(training, text.encode())
+            best = min(lengths, key=lambda k: (lengths[k], k))
+            assert r["lang_pred"] == best
+            assert abs(r["score"] - 1 / sum(2 ** max(-1000, (lengths[best] - x) / 4096) for x in lengths.values())) < 1e-9
 
 
 def test_lm(spark, tmp_path):
