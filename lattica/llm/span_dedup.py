@@ -8,7 +8,7 @@ partners of a suffix, and suffixes without any partner never move:
 1. Each window's anchor is the place in it whose next GRAM bytes hash least, the
    first such. Equal windows have equal anchors. Consecutive windows with one
    anchor are a context: the bytes from the first one's start to the last one's
-   end. Only hashes of the anchor and the context, and offsets, leave this pass.
+   end. Only the anchor's hash, the context's digest, and offsets, leave this pass.
 2. Anchors whose hash occurs once have no equal window anywhere. A context that
    occurs more than once is repeated as a whole: its span goes.
 3. What is left are contexts which share their anchor with different ones, where
@@ -17,16 +17,19 @@ partners of a suffix, and suffixes without any partner never move:
    anchor, and the prefixes that end there, read backwards, are sorted
    deep-shallow. Cutting the two orders where the common prefix falls below a depth
    gives classes of equal right and left parts, and so the equal windows at each offset.
-4. Buckets with more than HOT different contexts (a passage in very many
-   surroundings) are not sorted in one task: see wide_buckets.
+4. A bucket with more than BUCKET different contexts (a passage in very many
+   surroundings) is dealt out further before it is sorted, by the bytes that all
+   windows of a run of offsets have in common: see deal.
 
-Hashes are 64 bits for an anchor and 64 more for its context.
+An anchor's hash only deals: two anchors that share it are told apart by their bytes. A context is
+named by 64 bits of BLAKE2 beside its anchor's 64; rows with equal texts by 128 bits of two hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +44,14 @@ from .suffix_sort import deep_shallow_sort
 WINDOW, GRAM = 400, 200
 #: Bytes that are hashed at once; a longer text is read in overlapping parts.
 BLOCK = 2 << 20
-#: Different contexts of one anchor that a task sorts, and contexts sorted together.
-HOT, SORT = 2_000, 4_000
+#: Different contexts that a bucket holds at most when it is sorted, and contexts sorted together.
+BUCKET, SORT = 512, 4_000
+#: Offsets of a window before its anchor, as a power of two.
+RUN = 256
 _AT = np.uint64((1 << 24) - 1)
 
 ANCHORS = "id long, h1 long, h2 long, n long, sha string, g array<long>, c array<long>, s array<int>, p array<int>, e array<int>"
-CONTEXT = "g long, c long, times long, id long, h1 long, h2 long, p int, lo int, hi int, body binary"
+CONTEXT = "g long, at int, size int, core long, c long, times long, id long, h1 long, h2 long, p int, lo int, hi int, body binary"
 SPAN = "h1 long, h2 long, start int, stop int"
 
 
@@ -56,7 +61,7 @@ def text_keys(text: Column) -> list[Column]:
 
 
 def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For the sorted window starts: hash of anchor, hash of context, first start, anchor, last start of each run of one anchor."""
+    """For the sorted window starts: hash of anchor, digest of context, first start, anchor, last start of each run of one anchor."""
     span = WINDOW - GRAM + 1
     if not len(starts):
         return (*[np.zeros(0, np.int64)] * 5,)
@@ -73,9 +78,10 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         at = (least[starts] & _AT).astype(np.int64)
         new = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)]))
         first, last, at = starts[new], starts[np.concatenate([new[1:] - 1, [len(starts) - 1]])], at[new]
-        whole = (sums[last + WINDOW] - sums[first]) * back[first]
-        shape = ((at - first) * 1024 + last - first).astype(np.uint64)
-        return grams[at].view(np.int64), mix64(mix64(whole) + shape * BASE).view(np.int64), first, at, last
+        raw = data.tobytes()
+        shape = ((at - first) * 1024 + last - first).tolist()
+        whole = [hashlib.blake2b(raw[s : e + WINDOW], digest_size=8, salt=k.to_bytes(4, "big")).digest() for s, e, k in zip(first.tolist(), last.tolist(), shape, strict=True)]
+        return grams[at].view(np.int64), np.frombuffer(b"".join(whole), np.int64), first, at, last
 
 
 def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,16 +132,16 @@ def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = unpack(packed)
             for x in places:
                 # lo and hi: how many bytes before the anchor the last and the first window start
-                out.append((x["g"], x["c"], x["times"], i, h1, h2, x["p"], x["p"] - x["e"], x["p"] - x["s"], text[x["s"] : x["e"] + WINDOW]))
-        kinds = [pa.int64()] * 6 + [pa.int32()] * 3 + [pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 10, kinds, strict=True)], [f.split()[0] for f in CONTEXT.split(", ")])
+                out.append((x["g"], 0, RUN, 0, x["c"], x["times"], i, h1, h2, x["p"], x["p"] - x["e"], x["p"] - x["s"], text[x["s"] : x["e"] + WINDOW]))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 6, *[pa.int32()] * 3, pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 13, kinds, strict=True)], [f.split()[0] for f in CONTEXT.split(", ")])
 
 
-def equal_windows(bodies: list[bytes], lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """[context, bytes before the anchor]: whether another context has an equal window there."""
+def equal_windows(bodies: list[bytes], anchor: np.ndarray, lo: np.ndarray, hi: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """[context, bytes before the anchor]: whether another context of its bucket has an equal window there, for lo to hi."""
     n = len(bodies)
     rank, cuts = [], []
-    for strings in ([b[h:] for b, h in zip(bodies, hi.tolist(), strict=True)], [b[:h][::-1] for b, h in zip(bodies, hi.tolist(), strict=True)]):
+    for strings in ([b[h:] for b, h in zip(bodies, anchor.tolist(), strict=True)], [b[:h][::-1] for b, h in zip(bodies, anchor.tolist(), strict=True)]):
         order, shared = deep_shallow_sort(strings)
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
@@ -148,29 +154,35 @@ def equal_windows(bodies: list[bytes], lo: np.ndarray, hi: np.ndarray) -> np.nda
             continue
         right = np.cumsum(cuts[0] < WINDOW - a)[rank[0][who]]
         left = np.cumsum(cuts[1] < a)[rank[1][who]]
-        _, back, times = np.unique(right * (n + 1) + left, return_inverse=True, return_counts=True)
+        _, back, times = np.unique((buckets[who] * (n + 1) + right) * (n + 1) + left, return_inverse=True, return_counts=True)
         out[who, a] = times[back] > 1
     return out
 
 
 def sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts sorted by anchor hash: whole buckets, a few at a time, to the spans of repeated windows."""
+    """Rows of CONTEXT sorted by bucket (g, at, size, core): whole buckets, a few at a time, to the spans of repeated windows.
+
+    A bucket looks at the windows which start at to at + size - 1 before the anchor.
+    """
     held: list[tuple] = []
 
     def spans(rows: list[tuple]) -> pa.RecordBatch:
         out = []
-        equal = equal_windows([r[9] for r in rows], np.array([r[7] for r in rows]), np.array([r[8] for r in rows]))
+        low = np.array([max(r[10], r[1]) for r in rows])
+        high = np.array([min(r[11], r[1] + r[2] - 1) for r in rows])
+        buckets = np.cumsum([True, *(x[:4] != y[:4] for x, y in zip(rows, rows[1:], strict=False))]) - 1
+        equal = equal_windows([r[12] for r in rows], np.array([r[11] for r in rows]), low, high, buckets)
         for r, e in zip(rows, equal, strict=True):
-            if r[2] == 1:  # what occurs more than once goes as a whole anyway
+            if r[5] == 1:  # what occurs more than once goes as a whole anyway
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], e.view(np.int8), [0]])))
-                out += [(r[4], r[5], r[6] - int(y) + 1, r[6] - int(x) + WINDOW) for x, y in zip(edge[::2], edge[1::2], strict=True)]
+                out += [(r[7], r[8], r[9] - int(y) + 1, r[9] - int(x) + WINDOW) for x, y in zip(edge[::2], edge[1::2], strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["h1", "h2", "start", "stop"])
 
     for batch in batches:
-        for row in zip(*(batch[k].to_pylist() for k in range(10)), strict=True):
-            if held and row[:2] == held[-1][:2]:  # a repeated row's copy
+        for row in zip(*(batch[k].to_pylist() for k in range(13)), strict=True):
+            if held and row[:5] == held[-1][:5]:  # a repeated row's copy
                 continue
-            if len(held) >= SORT and row[0] != held[-1][0]:
+            if len(held) >= SORT and row[:4] != held[-1][:4]:
                 yield spans(held)
                 held = []
             held.append(row)
@@ -178,45 +190,43 @@ def sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield spans(held)
 
 
-def wide_buckets(contexts: DataFrame) -> DataFrame:
-    """Spans of repeated windows in buckets too large for one task, without bringing a bucket together.
+def deal(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Buckets of at most BUCKET contexts, and spans found on the way, of the contexts in larger buckets.
 
-    The places before the anchor at which windows start are halved again and
-    again. For a run of places, the bytes common to all its windows and the bytes
-    of all of them are hashed and counted in the bucket: if the former are alone, no
-    window of the run is repeated; if the latter are not, all are; else both halves
-    are looked at, down to single windows. A context has a few open runs at a time.
+    The offsets at which windows start before the anchor are halved again and
+    again. A run of offsets has a bucket for each string of the bytes that all its windows
+    have in common: equal windows are in one bucket. Buckets that are small enough are
+    ready to be sorted; in the others, contexts which also agree on the bytes of all windows of the run are repeated
+    there as a whole, and the rest goes on with both halves of the run. A
+    run of one offset has nothing left to tell its windows apart, so this ends. A
+    context has a few open runs at a time, and no bucket is ever brought together.
     """
-    done = []
-    open_ = contexts.where("times = 1").select("g", "c", F.lit(0).alias("at")).withColumn("asks", F.lit(True))
-    open_ = open_.unionByName(contexts.where("times > 1").select("g", "c", F.lit(0).alias("at"), F.lit(False).alias("asks")))
-    size = 256
-    while size >= 1:
-        runs = open_.join(contexts, ["g", "c"])
+    ready, done = [], []
+    open_ = contexts.withColumn("asks", F.col("times") == 1).drop("core")
+    size = RUN // 2
+    open_ = open_.withColumn("at", F.explode(F.array(F.lit(0), F.lit(size))))
+    while True:
         last = F.col("at") + size - 1
-        inside = (F.col("lo") <= F.col("at")) & (last <= F.col("hi"))
-        meets = (F.col("lo") <= last) & (F.col("at") <= F.col("hi"))
+        inside, meets = (F.col("lo") <= F.col("at")) & (last <= F.col("hi")), (F.col("lo") <= last) & (F.col("at") <= F.col("hi"))
         part = lambda a, b: F.substring("body", F.col("hi") - a + 1, a + WINDOW - b)  # noqa: E731  from a before the anchor, to the end of the window that starts b before it
         # A context that meets the run has the bytes common to all its windows; those of all of them only if it has each window.
-        core, hull = part(F.col("at"), last), F.when(inside, part(last, F.col("at")))
-        hashes = {"core": F.xxhash64(core), "core2": F.xxhash64(F.lit(1), core), "hull": F.when(inside, F.xxhash64(hull)), "hull2": F.when(inside, F.xxhash64(F.lit(1), hull))}
-        runs = stage(runs.where(meets).select("g", "c", "at", "asks", "times", "h1", "h2", "p", *[v.alias(k) for k, v in hashes.items()]), "open")
-        same = lambda x, n: runs.where(F.col(x).isNotNull()).groupBy("g", "at", x, f"{x}2").agg(F.sum("times").alias(n)).where(f"{n} > 1")
-        shared = runs.join(same("core", "cores"), ["g", "at", "core", "core2"]).join(same("hull", "hulls"), ["g", "at", "hull", "hull2"], "left")
+        core, hull = part(F.col("at"), last), part(last, F.col("at"))
+        runs = stage(open_.where(meets).withColumns({"size": F.lit(size), "core": F.xxhash64(core), "hull": F.when(inside, F.xxhash64(hull)), "hull2": F.when(inside, F.xxhash64(F.lit(1), hull))}), "open")
+        sums = stage(runs.groupBy("g", "at", "core").agg(F.sum("times").alias("rows"), F.count("*").alias("kinds"), F.max("asks").alias("asked")).where("rows > 1 and asked"), "sums")
+        held = stage(runs.join(sums, ["g", "at", "core"]).drop("asked", "rows"), "held")
+        ready.append(held.where(F.col("kinds") <= BUCKET))
+        same = stage(held.where((F.col("kinds") > BUCKET) & F.col("hull").isNotNull()).groupBy("g", "at", "core", "hull", "hull2").agg(F.sum("times").alias("hulls")).where("hulls > 1"), "same")
+        wide = held.where(F.col("kinds") > BUCKET).join(same, ["g", "at", "core", "hull", "hull2"], "left")
         whole = F.col("hulls").isNotNull()
-        done.append(shared.where(whole & F.col("asks")).select("h1", "h2", (F.col("p") - F.col("at") - size + 1).alias("start"), (F.col("p") - F.col("at") + WINDOW).alias("stop")))
+        done.append(wide.where(whole & F.col("asks")).select("h1", "h2", (F.col("p") - F.col("at") - size + 1).alias("start"), (F.col("p") - F.col("at") + WINDOW).alias("stop")))
         # Partners of an open run stay, even if they do not ask any more themselves.
-        rest = shared.select("g", "c", "at", (F.col("asks") & ~whole).alias("asks"))
-        half = size // 2
-        if half:
-            open_ = stage(rest.withColumn("at", F.explode(F.array("at", F.col("at") + half))), "halves")
-            if not open_.where("asks").take(1):
-                break
-        size = half
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return stage(out, "wide")
+        open_ = stage(wide.withColumn("asks", F.col("asks") & ~whole).drop("size", "core", "kinds", "hull", "hull2", "hulls"), "rest")
+        size //= 2
+        if not size or not open_.where("asks").take(1):
+            break
+        open_ = open_.withColumn("at", F.explode(F.array("at", F.col("at") + size)))
+    names = [f.split()[0] for f in CONTEXT.split(", ")]
+    return reduce(DataFrame.unionByName, [r.select(*names) for r in ready]), reduce(DataFrame.unionByName, done)
 
 
 def remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,18 +267,21 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     contexts = stage(places.groupBy("g", "c").agg(F.count("*").alias("times"), F.min(place).alias("x")), "contexts")
     again = contexts.where("times > 1").select("g", "c")
     whole = places.join(again, ["g", "c"], "left_semi").select("h1", "h2", F.col("s").alias("start"), (F.col("e") + WINDOW).alias("stop")).distinct()
-    mixed = contexts.groupBy("g").agg(F.count("*").alias("kinds"), F.min("times").alias("rarest")).where("kinds > 1 and rarest = 1").select("g", "kinds")
-    wanted = contexts.join(mixed, "g").select("g", "c", "times", "kinds", "x.*")
-    wanted = stage(wanted.groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("g", "c", "times", "s", "p", "e", "kinds")).alias("places")), "wanted")
+    # Staged, like the other sides of joins on g: a frequent anchor's rows can be split if both sides are exchanges of their own.
+    mixed = stage(contexts.groupBy("g").agg(F.count("*").alias("kinds"), F.min("times").alias("rarest")).where("kinds > 1 and rarest = 1").select("g", "kinds"), "mixed")
+    wanted = contexts.join(mixed, "g").select("g", "c", "times", "x.*")
+    wanted = stage(wanted.groupBy("id", "h1", "h2").agg(F.collect_list(F.struct("g", "c", "times", "s", "p", "e")).alias("places")), "wanted")
     packed = _keyed(docs, id_col, text_col).where(F.octet_length("text") >= WINDOW).mapInArrow(pack_batches, "id long, h1 long, h2 long, packed binary")
     same = packed["id"].eqNullSafe(wanted["id"]) & (packed["h1"] == wanted["h1"]) & (packed["h2"] == wanted["h2"])
     fetched = packed.join(wanted, same).select(packed["id"], packed["h1"], packed["h2"], "packed", "places")
     bodies = stage(fetched.mapInArrow(cut_batches, CONTEXT), "bodies")
-    wide = stage(contexts.join(mixed.where(F.col("kinds") > HOT), "g", "left_semi").select("g").distinct(), "wide")
-    narrow = bodies.join(wide, "g", "left_anti").repartition("g").sortWithinPartitions("g", "c").mapInArrow(sort_batches, SPAN)
-    spans = whole.unionByName(narrow)
+    wide = stage(mixed.where(F.col("kinds") > BUCKET).select("g"), "wide")
+    spans, buckets = whole, bodies.join(wide, "g", "left_anti")
     if wide.take(1):
-        spans = spans.unionByName(wide_buckets(stage(bodies.join(wide, "g", "left_semi").dropDuplicates(["g", "c"]), "wide_bodies")))
+        dealt, early = deal(stage(bodies.join(wide, "g", "left_semi").dropDuplicates(["g", "c"]), "wide_bodies"))
+        spans, buckets = spans.unionByName(early), buckets.unionByName(dealt)
+    bucket = ["g", "at", "size", "core"]
+    spans = spans.unionByName(buckets.repartition(*bucket).sortWithinPartitions(*bucket, "c").mapInArrow(sort_batches, SPAN))
     spans = spans.groupBy("h1", "h2").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return found.select("id", "h1", "h2", "n", "sha"), stage(spans, "spans")
 

@@ -178,15 +178,15 @@ def repeats(seed=0):
     return out + [(90, "x" * 1500, "en", "a"), (91, "ab" * 300, "en", "a"), (92, some(30) * 20, "en", "a"), (93, "q" * 400, "en", "a"), (94, "z" * 401, "en", "a")]
 
 
-@pytest.mark.parametrize("hot", [2000, 1])
-def test_spans(spark, hot, monkeypatch):
-    monkeypatch.setattr(span_dedup, "HOT", hot)
+@pytest.mark.parametrize("bucket", [512, 6, 1])
+def test_spans(spark, bucket, monkeypatch):
+    monkeypatch.setattr(span_dedup, "BUCKET", bucket)
     data = corpus.rows(4) + repeats()
     docs = corpus.frame(spark, data)
     got = span_dedup.remove_repeats(docs).collect()
     want = sorted(map(str, spans_of(data)))
     assert sorted(map(str, map(tuple, got))) == want
-    texts = span_dedup.remove_repeats(docs, texts=True).collect() if hot == 2000 else []
+    texts = span_dedup.remove_repeats(docs, texts=True).collect() if bucket == 512 else []
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in texts) and len(texts) in (0, len(data))
 
 
