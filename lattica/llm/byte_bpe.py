@@ -15,21 +15,23 @@ from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import blocks, text_bytes
 
 #: Words that a worker remembers; then it forgets them all and starts anew. Longer words are never kept.
 MEMO_WORDS, MEMO_CHARS = 200_000, 48
-#: Characters of a text that are worked on at once, if it has a place to cut.
-PIECE = 1 << 20
+#: Characters of a text that are worked on at once, if it has a place to cut, and bytes of texts handed on at once.
+PIECE, BLOCK = 1 << 20, 4 << 20
 #: How the pre-tokenizer of byte-level vocabularies cuts a text into words.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Between these two a word always ends: a letter, then a blank that belongs to the next word.
 SAFE_CUT = regex.compile(r"(?<=\p{L})(?= \p{L})")
 
-RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-
 
 @lru_cache(1)
 def byte_chars() -> dict[int, str]:
@@ -135,32 +137,48 @@ def load(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
-def digest_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def digest_batches(path: str, keep_ids: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns text, then others that are handed on."""
     bpe = load(path)
     for batch in batches:
-        out = []
-        for doc_id, text in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
-            ids_hash, n, pieces = hashlib.sha256(), 0, []
-            for ids in bpe.encode_parts(text or ""):
-                if ids:
-                    ids_hash.update((("," if n else "") + ",".join(map(bpe.names.__getitem__, ids))).encode())
-                    n += len(ids)
-                    pieces.append(b"".join(map(bpe.pieces.__getitem__, ids)))
-            decoded = b"".join(pieces).decode("utf-8", "replace")
-            out.append((doc_id, n, ids_hash.hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True) if out else [[]] * 4, [pa.int64(), pa.int64(), pa.string(), pa.string()], strict=True)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-
-def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every text, decode it again, and return doc_id, n_tokens, ids_sha256, decoded_sha256 for each row.
+        texts = text_bytes(batch[0])
+        for a, b in blocks([len(t) for t in texts], BLOCK):
+            out, ids_of = [], []
+            for raw in texts[a:b]:
+                ids_hash, n, pieces, kept = hashlib.sha256(), 0, [], []
+                for ids in bpe.encode_parts(raw.decode()):
+                    if ids:
+                        ids_hash.update((("," if n else "") + ",".join(map(bpe.names.__getitem__, ids))).encode())
+                        n += len(ids)
+                        pieces.append(b"".join(map(bpe.pieces.__getitem__, ids)))
+                        if keep_ids:
+                            kept.append(np.array(ids, np.int32))
+                decoded = b"".join(pieces).decode("utf-8", "replace")
+                out.append((n, ids_hash.hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                ids_of.append(np.concatenate(kept) if kept else np.zeros(0, np.int32))
+            made = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.string(), pa.string()), strict=True)]
+            names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                made.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids_of)]), pa.int32()), pa.array(np.concatenate(ids_of))))
+                names.append("ids")
+            others = range(1, batch.num_columns)
+            yield pa.RecordBatch.from_arrays([*(batch[i].slice(a, b - a) for i in others), *made], [*(batch.schema.names[i] for i in others), *names])
+
+
+def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), ids: bool = False) -> DataFrame:
+    """Encode every text, decode it again, and return id_col, carry, n_tokens, ids_sha256, decoded_sha256 and, if asked for, ids for each row.
 
     ids_sha256 is of the decimal ids joined by commas, decoded_sha256 of the
     decoded text. Null counts as empty: 0 tokens and the digests of nothing.
     Special tokens inside a text are matched as the vocabulary's default. Rows
-    are independent: repeated rows, null identifiers and further columns need
+    are independent: repeated rows, null identifiers and further columns, of whatever name, need
     no care. tokenizer is a path that every executor has.
     """
-    return docs.select(id_col, text_col).mapInArrow(lambda b: digest_batches(tokenizer, b), RESULT.replace("doc_id", id_col))
+    names = list(dict.fromkeys([id_col, *carry]))
+    own = docs.select(F.col(f"`{text_col}`").alias("t"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+    schema = ", ".join([f"c{i} {kind}" for i, (_, kind) in enumerate(own.dtypes[1:])] + ["n_tokens long, ids_sha256 string, decoded_sha256 string"] + ["ids array<int>"] * ids)
+    found = own.mapInArrow(lambda b: digest_batches(tokenizer, ids, b), schema)
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *found.columns[len(names) :])
 
 
 def encode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
