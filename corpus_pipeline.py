@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lattica.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
-from lattica.llm.common import stage, table
+from lattica.llm.common import release, stage, table
 from lattica.llm.queries import vocabulary
 
 
@@ -35,8 +35,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The tokens of each document that the mix has, as digests of the ids and of what they decode to."""
-    return byte_bpe.round_trip(docs, vocabulary("byte_bpe_50k.json"))
+    """Each document that the mix has, with its token ids, their digest and that of what they decode to, instead of its text."""
+    return byte_bpe.round_trip(docs, vocabulary("byte_bpe_50k.json"), carry=("lang", "source"), ids=True)
 
 
 STAGES = [
@@ -52,7 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages, each on what the one before it wrote. Rows: doc_id, lang, source, n_tokens, ids_sha256, decoded_sha256, ids.
+
+    Null columns and identifiers, repeated rows and further columns are
+    treated as each stage's docstring says; an empty table gives an empty result. Of the tables written on the way only
+    the last is left.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
+        release(spark, docs)
     return docs
