@@ -43,18 +43,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Delete the staged tables of this process, but those that keep reads. What was made from the others can't be read any more."""
+def staged() -> int:
+    return len(_staged)
+
+
+def release(spark: SparkSession, keep: DataFrame | None = None, since: int = 0) -> None:
+    """Delete the staged tables of this process from the since-th on, but those that keep reads. What was made from the others can't be read any more."""
     held = keep.inputFiles() if keep is not None else []
     left = []
-    for path in _staged:
+    for path in _staged[since:]:
         name = path.rsplit("/", 1)[1]
         if any(f"/{name}/" in f for f in held):
             left.append(path)
         else:
             where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-    _staged[:] = left
+    _staged[since:] = left
 
 
 def _reads_files(docs: DataFrame) -> bool:

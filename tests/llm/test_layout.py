@@ -1,14 +1,16 @@
 import hashlib
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import corpus
 import duckdb
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lattica.llm import mixing, queries, sharding
+from test_dedup import components_of
 
 
 def duck(spark, d, sql):
@@ -183,9 +185,29 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(letters) == sum(any(map(str.isalpha, t or "")) for _, t, *_ in data)
     lowered = [t.encode().lower() for t in (r["text"] for r in seen["exact_dedup"].collect())]
     assert len(lowered) == len(set(lowered)) and set(lowered) == {t.encode().lower() for t in letters}
-    assert {r["doc_id"] for r in seen["near_dedup"].collect()} <= {r["doc_id"] for r in seen["exact_dedup"].collect()}
-    assert seen["byte_bpe"].count() == seen["mix_sources"].count() > 0
-    assert corpus_pipeline.run(spark, d).count() == seen["byte_bpe"].count()
+    # Near copies: of each component of brute-force links the rows of the least identifier stay.
+    rows = lambda name: [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in seen[name].collect()]
+    before = rows("exact_dedup")
+    kept = [r for r, (_, _, _, stays) in zip(before, components_of(before, 5, 80), strict=True) if stays]
+    assert sorted(map(str, rows("near_dedup"))) == sorted(map(str, kept))
+    # Mix: whole documents, each twice at most, every source near its target.
+    after, size = Counter(map(str, rows("mix_sources"))), defaultdict(int)
+    assert after <= Counter({k: 2 * n for k, n in Counter(map(str, kept)).items()})
+    for _, t, _, s in kept:
+        size[s] += len(corpus.words(t))
+    targets = {r["source_size"]: r["target"] for r in mixing.allot(seen["near_dedup"]).collect()}
+    longest = max(len(corpus.words(t)) for _, t, _, _ in kept)
+    for s, n in size.items():
+        got = sum(len(corpus.words(t)) for _, t, _, x in rows("mix_sources") if x == s)
+        assert abs(got - targets[n]) <= longest
+    # Tokens: those of the library, and back.
+    library = tokenizers.Tokenizer.from_file(queries.vocabulary("byte_bpe_50k.json"))
+    want = []
+    for i, t, lang, s in rows("mix_sources"):
+        ids = library.encode(t, add_special_tokens=False).ids
+        want.append((i, lang, s, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest(), ids))
+    assert sorted(map(str, map(tuple, seen["byte_bpe"].collect()))) == sorted(map(str, want))
+    assert sorted(map(str, map(tuple, corpus_pipeline.run(spark, d).collect()))) == sorted(map(str, want))
 
 
 def test_write_repeated_ids(spark, tmp_path):
