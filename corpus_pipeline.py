@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lattica.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
-from lattica.llm.common import release, stage, table
+from lattica.llm.common import release, stage, staged, table
 from lattica.llm.queries import vocabulary
 
 
@@ -58,8 +58,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     treated as each stage's docstring says; an empty table gives an empty result. Of the tables written on the way only
     the last is left.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs, mine = table(spark, sf_dir, "documents"), staged()
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
-        release(spark, docs)
+        release(spark, docs, mine)
     return docs
