@@ -16,6 +16,10 @@ measured against brute force is in the README.
 Vectors are dealt by a hash of their identifier into shards of about SHARD
 vectors, each with its own lines in memory; queries visit all shards and
 leave k vectors at most in each. All vectors are indexed; nothing is sampled.
+
+How many collisions tell near from far depends on the data: where the nearest are hardly nearer than the rest, as
+among random vectors of many dimensions, windows have to cover about half of every line, and a query costs as much as
+a pass over all projections. It is cheap only where near ones are near.
 """
 
 from __future__ import annotations
@@ -31,11 +35,11 @@ from pyspark.sql import functions as F
 from .common import stage
 
 #: Lines (255 at most), the share of them a vector must collide on, and half width by distance at which widening stops.
-M, ALPHA, RATIO = 128, 0.6, 0.9
-#: Half widths of the windows; unit vectors are at most 2 apart.
-WIDTHS = (0.3, 0.7, 0.9, 0.98, 1.06, 1.15, 1.3, 1.5, 1.8)
-#: Vectors of a shard on average, and queries whose window bounds are looked up together.
-SHARD, ASKED = 4096, 128
+M, ALPHA, RATIO = 240, 0.625, 0.93
+#: Half widths of the windows, with the lines that are looked at: few are enough while windows are narrow. Unit vectors are at most 2 apart.
+WIDTHS = ((0.3, 32), (0.65, 32), (1.04, M), (1.12, M), (1.25, M), (1.5, M))
+#: Vectors of a shard on average, those whose collisions are counted together, and queries whose window bounds are looked up together.
+SHARD, COUNTED, ASKED = 16_384, 2048, 128
 HITS = "query_id long, vec_id long, score double"
 
 
@@ -49,9 +53,13 @@ class Lines:
         places = (vectors / self.norms[:, None]) @ self.directions
         order = np.argsort(places, axis=0, kind="stable").T
         self.sorted = np.ascontiguousarray(np.take_along_axis(places.T, order, axis=1))
-        #: [line, vector]: the vector's place in the line's order.
+        # [line, vector]: the vector's place in the line's order.
         self.rank = np.empty(order.shape, np.uint16 if len(ids) < 1 << 16 else np.uint32)
         np.put_along_axis(self.rank, order, np.arange(len(ids), dtype=self.rank.dtype)[None, :], axis=1)
+        #: The same in parts that fit a processor's cache.
+        self.parts = [np.ascontiguousarray(self.rank[:, s : s + COUNTED]) for s in range(0, len(ids), COUNTED)]
+        del self.rank
+        self.verified = 0
 
     def score(self, at: np.ndarray, query: np.ndarray) -> np.ndarray:
         """Cosines; summed the same way for each row, so equal vectors have equal scores."""
@@ -61,26 +69,26 @@ class Lines:
         """query_id, vec_id, score of the k nearest found of each query."""
         centres = (queries / np.sqrt((queries * queries).sum(axis=1))[:, None]) @ self.directions
         # Windows as places in the sorted arrays, from the first inside to the first beyond: [query, width, line].
-        r = np.array(WIDTHS)
-        low, high = (np.stack([np.searchsorted(s, c[:, None] + d * r) for s, c in zip(self.sorted, centres.T, strict=True)], axis=2).astype(self.rank.dtype) for d in (-1, 1))
+        r = np.array([w for w, _ in WIDTHS])
+        low, high = (np.stack([np.searchsorted(s, c[:, None] + d * r) for s, c in zip(self.sorted, centres.T, strict=True)], axis=2).astype(self.parts[0].dtype) for d in (-1, 1))
         for i, query, a, b in zip(ids, queries, low, high, strict=True):
             for v, score in self.expand(i, query, a, b, k):
                 yield i, v, score
 
     def expand(self, query_id: int, query: np.ndarray, low: np.ndarray, high: np.ndarray, k: int) -> list[tuple[int, float]]:
-        need = math.ceil(ALPHA * M)
         done = self.ids == query_id
         best: list[tuple[float, int]] = []
-        for w, r in enumerate((*WIDTHS, None)):
+        for w, (r, m) in enumerate((*WIDTHS, (None, 0))):
             if r is None:  # wider than the sphere: all the rest
                 new = np.flatnonzero(~done)
             else:
                 # Unsigned, what lies below the window wraps round and is beyond it as well.
-                inside = self.rank - low[w][:, None] < (high[w] - low[w])[:, None]
-                hits = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
-                new = np.flatnonzero((hits >= need) & ~done)
+                first, wide = low[w][:m, None], (high[w] - low[w])[:m, None]
+                hits = [np.add.reduce((p[:m] - first < wide).view(np.uint8), axis=0, dtype=np.uint8) for p in self.parts]
+                new = np.flatnonzero((np.concatenate(hits) >= ALPHA * m) & ~done)
             if len(new):
                 done[new] = True
+                self.verified += len(new)
                 best += zip((-self.score(new, query)).tolist(), self.ids[new].tolist(), strict=True)
                 best.sort()
                 del best[k:]
@@ -89,42 +97,37 @@ class Lines:
         return [(i, -s) for s, i in best]
 
 
-def usable(ids: list, vectors: list) -> tuple[np.ndarray, np.ndarray]:
+def usable(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of rows that share an identifier the first by content."""
-    first: dict[int, tuple] = {}
-    for i, v in zip(ids, map(tuple, vectors), strict=True):
-        if i not in first or v < first[i]:
-            first[i] = v
-    return np.array(list(first), np.int64), np.array(list(first.values()), np.float64)
+    if len(np.unique(ids)) < len(ids):
+        order = np.lexsort((*vectors.T[::-1], ids))
+        first = order[np.append(True, ids[order][1:] != ids[order][:-1])]
+        return ids[first], vectors[first]
+    return ids, vectors
 
 
 def visit_shards(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows shard, dim, asks, id, vector, sorted so that a shard's vectors come before the queries that visit it."""
-    key, lines, ids, vectors, asked = None, None, [], [], {}
-
-    def answers() -> Iterator[pa.RecordBatch]:
-        if lines is not None and asked:
-            out = list(lines.search(list(asked), np.array(list(asked.values())), k))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
-        asked.clear()
-
+    key, lines, held = None, None, []
     for batch in batches:
-        for shard, dim, asks, i, v in zip(*(batch[c].to_pylist() for c in ("shard", "dim", "asks", "id")), batch["vector"].to_numpy(zero_copy_only=False), strict=True):
-            if key != (shard, dim):
-                yield from answers()
-                key, lines, ids, vectors = (shard, dim), None, [], []
-            if not asks:
-                ids.append(i)
-                vectors.append(v)
+        shard, dim, asks, ids = (batch[c].to_numpy(zero_copy_only=False) for c in ("shard", "dim", "asks", "id"))
+        lists = batch["vector"]
+        flat, ends = lists.flatten().to_numpy(), np.cumsum(dim)
+        edges = np.flatnonzero(np.append(True, (shard[1:] != shard[:-1]) | (dim[1:] != dim[:-1]) | (asks[1:] != asks[:-1]))) if len(ids) else []
+        for a, b in zip(edges, [*edges[1:], len(ids)], strict=True):
+            part = ids[a:b], flat[ends[a] - dim[a] : ends[b - 1]].reshape(b - a, dim[a])
+            if key != (shard[a], dim[a]):
+                key, lines, held = (shard[a], dim[a]), None, []
+            if not asks[a]:
+                held.append(part)
                 continue
-            if lines is None and ids:
-                lines = Lines(*usable(ids, vectors))
-                ids, vectors = [], []
-            asked[i] = np.array(v, np.float64)
-            if len(asked) == ASKED:
-                yield from answers()
-    yield from answers()
+            if lines is None and held:
+                lines = Lines(*usable(*map(np.concatenate, zip(*held, strict=True))))
+                held = []
+            for s in range(0, b - a if lines is not None else 0, ASKED):
+                out = list(lines.search(part[0][s : s + ASKED].tolist(), part[1][s : s + ASKED], k))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)], ["query_id", "vec_id", "score"])
 
 
 def nearest(vectors: DataFrame, *, every: int = 50, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

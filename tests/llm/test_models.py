@@ -230,6 +230,19 @@ def test_nearest(spark, monkeypatch):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_nearest_query(spark, tmp_path):
+    """The registered query with production parameters: recall against brute force, and exact scores."""
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(10, 64))
+    rows = [(i, (rng.normal(size=64) + 0.5 * centres[i % 10]).tolist()) for i in range(3000)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    want = {q: dict(near) for q, near in brute(rows, 50, 5).items()}
+    got = queries.op4_nearest(spark, str(tmp_path)).collect()
+    assert len(got) == 5 * len(want) == 300
+    assert sum(r["vec_id"] in want[r["query_id"]] for r in got) >= 0.9 * len(got)
+    assert all(abs(want[r["query_id"]].get(r["vec_id"], r["score"]) - r["score"]) < 1e-12 for r in got)
+
+
 def test_all_copies(spark):
     df = spark.createDataFrame([(i, [1.0, 2.0], 1, 2, 3, 4) for i in range(60)], VECTORS)
     got = ann.nearest(df).where(F.col("query_id") == 50).orderBy("rank").collect()
