@@ -115,7 +115,8 @@ def mix(docs: DataFrame, *, ordered: bool = True, weights: tuple[int, ...] = (5,
     packets = packets_of(own, *[f"c{names.index(c)}" for c in (id_col, source_col, text_col)], weights=weights, share_percent=share_percent, epochs=epochs, seed=seed)
     sent = schedule(packets).groupBy("f", "r", "epoch", "size").agg(F.sum("sent").alias("sent"), F.max("finish").alias("finish"))
     times = stage(sent.where("sent > 0 and 2 * sent >= size").groupBy("f", "r").agg(F.collect_list("finish").alias("finish")), "times")
-    out = own.join(times, ["f", "r"]).withColumn("finish", F.explode("finish"))
+    # One row a document on this side: merged at any size, since a broadcast would not hold at scale.
+    out = own.join(times.hint("merge"), ["f", "r"]).withColumn("finish", F.explode("finish"))
     if ordered:
         out = out.repartitionByRange("finish", "f", "r").sortWithinPartitions("finish", "f", "r")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
