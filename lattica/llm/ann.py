@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, tidy
 
 #: Lines (255 at most), the share of them a vector must collide on, and half width by distance at which widening stops.
 M, ALPHA, RATIO = 240, 0.625, 0.93
@@ -106,6 +106,7 @@ def usable(ids: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return ids, vectors
 
 
+@tidy
 def visit_shards(k: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows shard, dim, asks, id, vector, sorted so that a shard's vectors come before the queries that visit it."""
     key, lines, held = None, None, []

@@ -21,12 +21,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, text_bytes
+from .common import blocks, text_bytes, text_sizes, tidy
 
 #: Words that a worker remembers; then it forgets them all and starts anew. Longer words are never kept.
-MEMO_WORDS, MEMO_CHARS = 200_000, 48
+MEMO_WORDS, MEMO_CHARS = 100_000, 48
 #: Characters of a text that are worked on at once, if it has a place to cut, and bytes of texts handed on at once.
-PIECE, BLOCK = 1 << 20, 4 << 20
+PIECE, BLOCK = 1 << 20, 1 << 20
 #: How the pre-tokenizer of byte-level vocabularies cuts a text into words.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 #: Between these two a word always ends: a letter, then a blank that belongs to the next word.
@@ -137,14 +137,14 @@ def load(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+@tidy
 def digest_batches(path: str, keep_ids: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns text, then others that are handed on."""
     bpe = load(path)
     for batch in batches:
-        texts = text_bytes(batch[0])
-        for a, b in blocks([len(t) for t in texts], BLOCK):
+        for a, b in blocks(text_sizes(batch[0]), BLOCK):
             out, ids_of = [], []
-            for raw in texts[a:b]:
+            for raw in text_bytes(batch[0].slice(a, b - a)):
                 ids_hash, n, pieces, kept = hashlib.sha256(), 0, [], []
                 for ids in bpe.encode_parts(raw.decode()):
                     if ids:
@@ -181,6 +181,7 @@ def round_trip(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_
     return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], *found.columns[len(names) :])
 
 
+@tidy
 def encode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bpe = load(path)
     for batch in batches:
@@ -193,6 +194,7 @@ def encode(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
     return docs.select(id_col, text_col).mapInArrow(lambda b: encode_batches(tokenizer, b), f"{id_col} long, ids array<int>")
 
 
+@tidy
 def decode_batches(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bpe = load(path)
     for batch in batches:

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -115,6 +120,32 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()]
 
 
+def tidy(function):
+    """For functions over batches: when one ends, the worker, which waits for its next task, gives back what it does not use any more."""
+
+    @functools.wraps(function)
+    def run(*args):
+        try:
+            yield from function(*args)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # GNU's library only
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
+def text_sizes(column: pa.Array) -> list[int]:
+    """Bytes of the texts of an Arrow column, 0 for null."""
+    return pc.fill_null(pc.binary_length(column), 0).to_pylist()
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python workers few rows at a time: a batch is in memory several times, on either side."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def blocks(sizes: list[int], limit: int):
     """Ranges of rows that hold about limit bytes each; a longer row is a block of its own."""
     start, held = 0, 0

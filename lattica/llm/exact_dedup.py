@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, identified, stage
+from .common import ascii_lower, identified, stage, tidy
 
 #: Bits of a slot's number that a round exchanges: 16 runs meet in one merge. Rows for each slot.
 ROUND_BITS, RUN = 4, 1 << 20
@@ -41,6 +41,7 @@ ENTRY = "target long, digest binary, length long, check long, id long, f long, r
 ENTRY_ARROW = pa.schema([(f.split()[0], pa.binary() if "binary" in f else pa.int64()) for f in ENTRY.split(", ")])
 
 
+@tidy
 def merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merge neighbours of equal key in a sorted stream: the first one's identifier stays, the counts add up.
 
@@ -128,4 +129,5 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     own = identified(docs)
     _, _, merged = tree_merge(own.select("f", "r", F.col(f"c{names.index(id_col)}").alias("id"), F.col(f"c{names.index(text_col)}").alias("text")), keep)
     kept = stage(merged.select("f", "r"), "kept")
-    return own.join(kept, ["f", "r"], "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    # One row a text on this side: merged at any size, since a broadcast would not hold at scale.
+    return own.join(kept.hint("merge"), ["f", "r"], "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

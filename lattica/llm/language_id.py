@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KeyTable, blocks
+from .common import KeyTable, blocks, tidy
 
 #: Bytes of context; a string of them and the byte after is a number of 32 bits.
 ORDER = 3
@@ -134,6 +134,7 @@ def train(counts: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
     return Model([lang for lang, _, _ in counts], [Tree.of(keys, n) for _, keys, n in counts])
 
 
+@tidy
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns lang, text: how often each string of ORDER + 1 bytes stands in each language's texts."""
     for batch in batches:
@@ -143,6 +144,7 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "gram", "n"])
 
 
+@tidy
 def predict_batches(sent, keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = sent.value
     for batch in batches:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, stage, text_bytes
+from .common import blocks, stage, text_bytes, tidy
 
 #: Words whose counts all executors have, and the longest among them.
 TOP_WORDS, WORD_BYTES = 65_536, 64
@@ -205,6 +205,7 @@ def start(runs: list[tuple[np.ndarray, int]], classes: np.ndarray, p: np.ndarray
     return made
 
 
+@tidy
 def learn_batches(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns ids, lead. Train on all tokens of the task's runs; place, weight * value and weight of each parameter."""
     first, classes = sent.value
@@ -279,12 +280,14 @@ def runs_of(texts: list[bytes], place: dict[bytes, int]) -> Iterator[tuple[np.nd
         yield rest, lead
 
 
+@tidy
 def run_batches(sent, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for ids, lead in runs_of(text_bytes(batch[0]), sent.value):
             yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([lead], pa.int32())], ["ids", "lead"])
 
 
+@tidy
 def company_batches(n_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     near = np.zeros((n_words, min(OWN, n_words)), np.int32)
     for batch in batches:
@@ -294,6 +297,7 @@ def company_batches(n_words: int, batches: Iterator[pa.RecordBatch]) -> Iterator
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(near.ravel()[at].astype(np.int64))], ["place", "n"])
 
 
+@tidy
 def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: Counter[bytes] = Counter()
 
@@ -314,6 +318,7 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 PARTS = "row long, id long, held_out boolean, n_tokens long, known long, base double, model double, n_rare long, rare array<struct<word: binary, n: int>>"
 
 
+@tidy
 def score_batches(sent, n_docs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns row, id, held_out, text. What frequent words and ends give is summed here; rare words go on with their number."""
     model = sent.value

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, identified, mix64, stage, text_bytes
+from .common import blocks, identified, mix64, stage, text_bytes, tidy
 from .components import components
 
 #: Probability that a link at the threshold is no candidate, and coordinates of a band and bands at most.
@@ -135,6 +135,7 @@ def band_keys(sig: np.ndarray, bands: int) -> np.ndarray:
         return key.view(np.int64)
 
 
+@tidy
 def sketch_batches(width: int, bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns row, f, r, id, text."""
     pack = zstandard.ZstdCompressor(level=1).compress
@@ -176,6 +177,7 @@ class Sets:
         return 100 * both >= self.percent * (len(x) + len(y) - both)
 
 
+@tidy
 def verify_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns a, b and n, sig, body of either: the pairs that are linked."""
     sets = Sets(percent, width)
@@ -190,6 +192,7 @@ def verify_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch])
         yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
 
+@tidy
 def across_batches(percent: int, width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns band, block, held, node, n, comp, sig, body, sorted so that a block's held nodes come first.
 
@@ -310,4 +313,4 @@ def drop_near_copies(docs: DataFrame, *, percent: int = 80, width: int = 5, id_c
     own = identified(docs)
     found = _components(docs, percent, width, id_col, text_col, own)
     gone = stage(found.where(~F.col("id").eqNullSafe(F.col("component_id"))).select("f", "r"), "gone")
-    return own.join(gone, ["f", "r"], "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return own.join(gone.hint("merge"), ["f", "r"], "left_anti").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

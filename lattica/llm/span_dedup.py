@@ -37,7 +37,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, mix64, stage, text_bytes
+from .common import blocks, mix64, stage, text_bytes, tidy
 from .near_dedup import _INVERSE, BASE, _powers
 from .suffix_sort import deep_shallow_sort
 
@@ -84,6 +84,7 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, ...]:
         return grams[at].view(np.int64), np.frombuffer(b"".join(whole), np.int64), first, at, last
 
 
+@tidy
 def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns id, h1, h2, text."""
     for batch in batches:
@@ -116,6 +117,7 @@ def anchor_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
+@tidy
 def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts packed before they are dealt out."""
     pack = zstandard.ZstdCompressor(level=1).compress
@@ -123,6 +125,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch[0], batch[1], batch[2], pa.array([pack(t) for t in text_bytes(batch[3])], pa.binary())], ["id", "h1", "h2", "packed"])
 
 
+@tidy
 def cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns id, h1, h2, packed, places: the bytes of each wanted context, with its anchor's place in them."""
     unpack = zstandard.ZstdDecompressor().decompress
@@ -159,6 +162,7 @@ def equal_windows(bodies: list[bytes], anchor: np.ndarray, lo: np.ndarray, hi: n
     return out
 
 
+@tidy
 def sort_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of CONTEXT sorted by bucket (g, at, size, core): whole buckets, a few at a time, to the spans of repeated windows.
 
@@ -229,6 +233,7 @@ def deal(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return reduce(DataFrame.unionByName, [r.select(*names) for r in ready]), reduce(DataFrame.unionByName, done)
 
 
+@tidy
 def remove_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Columns id, packed, spans: what is left of the text."""
     unpack = zstandard.ZstdDecompressor().decompress

@@ -39,7 +39,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 
 from .byte_bpe import byte_chars
-from .common import KeyTable
+from .common import KeyTable, tidy
 
 #: States of the second transducer and token pairs that a worker remembers; beyond, it forgets them all and starts anew.
 MAX_STATES, MEMO_PAIRS = 250_000, 500_000
@@ -382,6 +382,7 @@ def load(path: str) -> Counter:
     return Counter(path)
 
 
+@tidy
 def count_batches(path: str, limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counter = load(path)
     for batch in batches:
