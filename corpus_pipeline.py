@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lattica.llm import byte_bpe, exact_dedup, language_id, mixing, near_dedup
-from lattica.llm.common import release, stage, staged, table
+from lattica.llm.common import release, small_batches, stage, staged, table
 from lattica.llm.queries import vocabulary
 
 
@@ -14,6 +14,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     The others stay, also where no language could be learned (no labels, say).
     """
+    small_batches(spark)
     model = language_id.fit(docs, language_id.bucket("doc_id", 5) != 0)
     found = language_id.predict(docs, model, carry=tuple(docs.columns), lettered=True)
     return found.select(*docs.columns)
@@ -21,11 +22,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest identifier stays."""
+    small_batches(spark)
     return exact_dedup.drop_copies(docs, keep="largest")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles and a similarity of 0.8 the one with the smallest identifier stays."""
+    small_batches(spark)
     return near_dedup.drop_near_copies(docs, percent=80, width=5)
 
 
@@ -36,6 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document that the mix has, with its token ids, their digest and that of what they decode to, instead of its text."""
+    small_batches(spark)
     return byte_bpe.round_trip(docs, vocabulary("byte_bpe_50k.json"), carry=("lang", "source"), ids=True)
 
 
