@@ -55,6 +55,13 @@ def assistant_reply(messages: Column | str) -> Column:
     return F.coalesce(F.get(_written(m, "assistant"), F.lit(0))["content"], F.try_element_at(_written(m), F.lit(-1))["content"])
 
 
+def prompt_of(raw: Column | str) -> Column:
+    """The prompt in JSON text or plain text: that of a list of messages by user_prompt, a text stripped; NULL if blank."""
+    raw = _col(raw)
+    listed = F.from_json(raw, "array<struct<role:string,content:string>>")
+    return F.when(strip(raw).startswith("["), user_prompt(listed)).otherwise(blank_to_null(raw))
+
+
 def condition(parts: dict[str, Column | str], sep: str = "|") -> Column:
     """"k=v|k=v"; NULL if a value is NULL."""
     out = [F.concat(F.lit(f"{k}="), _col(v).cast("string")) for k, v in parts.items()]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import NOT_AFTER_WORD, NOT_BEFORE_WORD, WS_CLASS, _col, strip
@@ -76,6 +76,12 @@ def present_or(record: Column | str, key: str, other: str) -> Column:
     return F.when(F.map_contains_key(m, key), F.try_element_at(m, F.lit(key))).otherwise(F.try_element_at(m, F.lit(other)))
 
 
+def with_either(df: DataFrame, record: str, keys: tuple[str, str], name: str) -> DataFrame:
+    """Rows whose map has one of the keys, with its value (the first key's if it is there); records with neither are skipped."""
+    m = F.col(record)
+    return df.where(F.map_contains_key(m, keys[0]) | F.map_contains_key(m, keys[1])).withColumn(name, present_or(record, *keys))
+
+
 def fraction(x: Column | str) -> Column:
     """"k/N" as a number, "X" as 0; NULL for a zero N and for anything else."""
     x = strip(x)
@@ -111,7 +117,7 @@ def clip(x: Column | str) -> Column:
 
 
 def share(points: Column | str, most: Column | str) -> Column:
-    """points / most within 0 and 1; NULL (skip the criterion) without points or a positive maximum."""
+    """points / most within 0 and 1; NULL (skip the criterion) without points or with a maximum that is 0 or missing."""
     p, m = F.nanvl(_col(points), F.lit(None)), F.nanvl(_col(most), F.lit(None))
     return F.when((m != 0) & p.isNotNull(), clip(p / m))
 

@@ -30,7 +30,7 @@ def _nfc(x: pd.Series) -> pd.Series:
 
 
 def nfc(x: Column | str) -> Column:
-    """NFC. Spark has no such function; pure ASCII, which is NFC already, never reaches Python."""
+    """NFC. Spark has no such function, so each row passes a Python worker; of pure ASCII, which is NFC already, only a NULL does. Give it distinct values where many rows share few."""
     x = _col(x)
     return F.coalesce(_nfc(F.when(F.octet_length(x) > F.char_length(x), x)), x)
 

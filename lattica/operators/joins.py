@@ -69,3 +69,31 @@ def with_traces(responses: DataFrame, traces: DataFrame) -> DataFrame:
 def orphans(facts: DataFrame, dim: DataFrame, on: list[str]) -> DataFrame:
     """Keys of facts that dim has not."""
     return facts.select(*on).distinct().join(dim.select(*on), on, "left_anti")
+
+
+def fallback_lookup(facts: DataFrame, lookups: list[DataFrame], on: list[str], value: str) -> DataFrame:
+    """facts with the value of the first lookup that has a non-empty one for the key, NULL without any. Lookups have on and value."""
+    out, found = facts, []
+    for i, dim in enumerate(lookups):
+        out = lookup(out, dim.select(*on, F.col(value).alias(f"_v{i}")), on)
+        found.append(F.nullif(F.col(f"_v{i}"), F.lit("")))
+    return out.withColumn(value, F.coalesce(*found)).drop(*[f"_v{i}" for i in range(len(lookups))])
+
+
+def name_lookup(facts: DataFrame, dim: DataFrame, left: str, right: str, form) -> DataFrame:
+    """Left join on names that are equal in a normal form (a function of a column); a name without any form finds nothing."""
+    own = dim.withColumn("_form", F.nullif(form(F.col(right)), F.lit("")))
+    return facts.withColumn("_form", F.nullif(form(F.col(left)), F.lit(""))).join(own, "_form", "left").drop("_form")
+
+
+def validated(files: DataFrame, reference: DataFrame, array: str, subset: str | None = None) -> DataFrame:
+    """The files (a row each) whose array is as long as the one-row reference's, and whose subset array is missing, empty or just the same.
+
+    Files that fail are dropped as a whole, so that a join by position never pairs what does not belong together.
+    """
+    ref = reference.select(F.size(array).alias("_n"), *([F.col(subset).alias("_s")] if subset else []))
+    good = F.size(array) == F.col("_n")
+    if subset:
+        own = F.col(subset)
+        good = good & (own.isNull() | (F.size(own) == 0) | (own == F.col("_s")))
+    return files.join(F.broadcast(ref), good, "left_semi")  # one row

@@ -552,9 +552,15 @@ def subject_summary(spark: SparkSession, d: str) -> DataFrame:
     return out.select("subject_id", "n", "items", rounded("mean_score", 4), "unconditioned")
 
 
+def _all() -> None:
+    from . import raw_queries  # noqa: F401  registers its own
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)

@@ -13,9 +13,12 @@ FILE = "_metadata.file_path"
 
 
 def _lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """file, pos, line of text files read whole: line order within a file survives any split."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col(FILE).alias("file"), "value")
-    return whole.select("file", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("pos", "line")).where(blank_to_null("line").isNotNull())
+    """file, pos, line of the lines with text in them. pos orders a file's lines: where the split that has the line starts, then the line's number there.
+
+    Files are read in splits, so a large one is no single task and no row has to hold it.
+    """
+    pos = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(paths).select(F.col(FILE).alias("file"), pos.alias("pos"), F.col("value").alias("line")).where(blank_to_null("line").isNotNull())
 
 
 def jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType | str) -> DataFrame:
@@ -35,10 +38,10 @@ def jsonl_strict(spark: SparkSession, paths: str | list[str], schema: T.StructTy
 def headed_ndjson(spark: SparkSession, paths: str | list[str], header: str, body: str) -> tuple[DataFrame, DataFrame]:
     """Files whose first line is a summary: (a row a file, a row a further line)."""
     lines = _lines(spark, paths)
-    first = lines.groupBy("file").agg(F.min("pos").alias("pos"))
-    head = lines.join(first, ["file", "pos"], "left_semi").select("file", F.from_json("line", header).alias("r")).select("file", "r.*")
-    rest = lines.join(first, ["file", "pos"], "left_anti").select("file", "pos", F.from_json("line", body).alias("r")).where("r is not null").select("file", "pos", "r.*")
-    return head, rest
+    first = lines.groupBy("file").agg(F.min(F.struct("pos", "line")).alias("first"))  # one row a file
+    head = first.select("file", F.from_json("first.line", header).alias("r")).select("file", "r.*")
+    rest = lines.join(first.select("file", F.col("first.pos").alias("top")), "file").where(F.col("pos") != F.col("top"))
+    return head, rest.select("file", "pos", F.from_json("line", body).alias("r")).where("r is not null").select("file", "pos", "r.*")
 
 
 def json_object(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
@@ -52,10 +55,19 @@ def json_array(spark: SparkSession, paths: str | list[str], element: str) -> Dat
     return json_object(spark, paths, f"array<{element}>").select("file", F.posexplode("value").alias("pos", "value"))
 
 
-def csv(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None) -> DataFrame:
-    """CSV with quoted line ends, all columns text: types are given by try_cast later. An index column without name is dropped."""
+# The words that the upstream CSV reader takes for a missing cell.
+MISSING = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+
+
+def csv(spark: SparkSession, paths: str | list[str], columns: list[str] | None = None, *, missing: tuple[str, ...] = ()) -> DataFrame:
+    """CSV with quoted line ends, all columns text: types are given by try_cast later. An index column without name is dropped.
+
+    Cells that are one of the words in missing are NULL; MISSING has the usual ones.
+    """
     df = spark.read.csv(paths, header=True, multiLine=True, escape='"', inferSchema=False)
     df = df.drop("Unnamed: 0", "_c0")
+    if missing:
+        df = df.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in df.columns])
     return df if columns is None else star.keep_existing(df, columns)
 
 
@@ -109,6 +121,17 @@ def contributions(spark: SparkSession, dirs: list[str], table: str, schema: T.St
     return reduce(DataFrame.unionByName, frames, empty)
 
 
+def register_globs(spark: SparkSession, globs: dict[str, str]) -> None:
+    """Temporary views over Parquet paths or globs, so that SQL can name them."""
+    for name, path in globs.items():
+        spark.read.parquet(path).createOrReplaceTempView(name)
+
+
+def literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table given in code."""
+    return spark.createDataFrame(rows, schema)
+
+
 def manifest(spark: SparkSession, text: str) -> DataFrame:
     """dataset, domain, release from a YAML manifest's two-level mapping (plain scalars only)."""
     rows, name, entry = [], None, {}
