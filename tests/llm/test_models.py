@@ -127,6 +127,43 @@ def test_lm(spark, tmp_path):
     assert queries.op9_lm_score(spark, corpus.parquet(spark, [], tmp_path / "empty")).count() == 0
 
 
+def test_lm_score_by_hand(spark, tmp_path, monkeypatch):
+    """The model's score of every text, token by token in plain Python: softmax over classes, then the word's share of its class."""
+    data = corpus.rows(9, 50)
+    learned = []
+    learn = lm_score.learn
+    monkeypatch.setattr(lm_score, "learn", lambda *a: learned.append(learn(*a)) or learned[-1])
+    monkeypatch.setattr(lm_score, "TOP_WORDS", 60)
+    rows = queries.op9_lm_score(spark, corpus.parquet(spark, data, tmp_path)).collect()
+    model, counts = learned[0], Counter()
+    for i, t, *_ in data:
+        if crc(i) % 7 != 2:
+            counts.update(corpus.words(t))
+    assert {w: counts[w] for w in model.words} == {w: int(model.counts[k]) for w, k in model.words.items()} and 0 < len(model.words) < len(counts)
+    class_of = lambda w: int(model.classes[model.words[w]]) if w in model.words else lm_score.RARE
+    mass = Counter()
+    for w, c in counts.items():
+        mass[class_of(w)] += c + 1
+    mass[lm_score.RARE] += 1  # one unknown word
+
+    def score(words):
+        total, before = 0.0, [lm_score.END] * lm_score.CONTEXT
+        for w in [*words, None]:
+            c = lm_score.END if w is None else class_of(w)
+            h = sum(model.C[k] * model.R[before[-1 - k]] for k in range(lm_score.CONTEXT))
+            logits = [float(q @ h + b) for q, b in zip(model.Q, model.b, strict=True)]
+            total += (logits[c] - math.log(sum(math.exp(x) for x in logits))) / math.log(10)
+            total += 0.0 if w is None else math.log10((counts[w] + 1) / mass[c])
+            before.append(c)
+        return total
+
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in rows)
+    want = sorted((str(i), len(corpus.words(t)) + 1, score(corpus.words(t))) for i, t, *_ in data if len(corpus.words(t)) < 500)
+    got = [g for g in got if g[1] <= 500]
+    assert len(got) == len(want)
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-3 * max(1, abs(b[2])) for a, b in zip(got, want, strict=True))
+
+
 def test_lm_rare_words_join(spark, tmp_path, monkeypatch):
     """With few words sent to the executors the counts of the others come by the join: the base score stays the same."""
     d = corpus.parquet(spark, corpus.rows(9, 40), tmp_path)
