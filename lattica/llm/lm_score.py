@@ -82,10 +82,17 @@ class Model:
                 h += place[k][np.where(since[at] > k, tokens[at - 1 - k], END)]
             logits = h @ q
             logits += b
-            logits -= logits.max(axis=1, keepdims=True)
-            own = logits[np.arange(len(at)), tokens[at]]
-            np.exp(logits, out=logits)
-            out[at] = own - np.log(logits.sum(axis=1, dtype=np.float64))
+            logits -= logits.max()  # one number for all tokens, which is cheaper
+            own = logits[np.arange(len(at)), tokens[at]].astype(np.float64)
+            total = np.exp(logits) @ np.ones(len(b), np.float32)
+            low = np.flatnonzero(total < 1e-20)  # tokens that are far below it get their own
+            if len(low):
+                rest = logits[low].astype(np.float64)
+                most = rest.max(axis=1)
+                own[low] -= most
+                total = total.astype(np.float64)
+                total[low] = np.exp(rest - most[:, None]).sum(axis=1)
+            out[at] = own - np.log(total)
         return out / np.log(10)
 
 
@@ -331,20 +338,24 @@ def score_batches(sent, n_docs: int, batches: Iterator[pa.RecordBatch]) -> Itera
     for batch in batches:
         texts = text_bytes(batch[3])
         for a, b in blocks([len(t) for t in texts], BLOCK):
-            words = [words_of(t) for t in texts[a:b]]
-            ids, rare = [], []
-            for ws in words:
-                own = [get(w, rare_id) for w in ws]
-                rare.append(Counter([w for w, i in zip(ws, own, strict=True) if i == rare_id]))
-                ids += own
+            flat, n, ids = [], [], []
+            for t in texts[a:b]:
+                ws = words_of(t)
+                ids += map(get, ws, repeat(rare_id))
                 ids.append(end_id)
-            ids = np.array(ids, np.int64)
-            n = np.array([len(w) + 1 for w in words])
+                flat += ws
+                flat.append(b"")
+                n.append(len(ws) + 1)
+            ids, n = np.array(ids, np.int64), np.array(n)
             starts = np.cumsum(n) - n
             first = np.zeros(len(ids), bool)
             first[starts] = True
             logs = model.log_probs(classes[ids], first) + inside[ids]
             is_rare = ids == rare_id
+            rare = [Counter() for _ in n]
+            at = np.flatnonzero(is_rare)
+            for i, k in zip((np.searchsorted(starts, at, "right") - 1).tolist(), at.tolist(), strict=True):
+                rare[i][flat[k]] += 1
             n_rare = np.add.reduceat(is_rare.astype(np.int64), starts)
             known = n - n_rare - (n_docs == 0)  # frequent words and, if anything was learned, the end
             sums = [known, np.add.reduceat(base[ids], starts), np.add.reduceat(logs, starts), n_rare]
