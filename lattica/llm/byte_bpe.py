@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import blocks, text_bytes, text_sizes, tidy
 
-#: Words that a worker remembers; then it forgets them all and starts anew. Longer words are never kept.
-MEMO_WORDS, MEMO_CHARS = 100_000, 48
+#: Words that a worker remembers as new ones; with as many, it keeps them as old ones and forgets those that were old. Longer words are never kept.
+MEMO_WORDS, MEMO_CHARS = 160_000, 48
 #: Characters of a text that are worked on at once, if it has a place to cut, and bytes of texts handed on at once.
 PIECE, BLOCK = 1 << 20, 1 << 20
 #: How the pre-tokenizer of byte-level vocabularies cuts a text into words.
@@ -42,16 +42,19 @@ def byte_chars() -> dict[int, str]:
 
 
 class _Memo(dict):
-    """word -> ids, filled on demand and bounded."""
+    """word -> ids, filled on demand and bounded; words that were used lately survive."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.old = encode, {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = tuple(self.encode(word))
+        ids = self.old.get(word)
+        if ids is None:
+            ids = tuple(self.encode(word))
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = ids
         return ids

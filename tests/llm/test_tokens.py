@@ -121,6 +121,15 @@ def test_queries(spark, tmp_path, words, bytes_):
     assert queries.op2_token_counts(spark, empty).count() == queries.op5_byte_bpe(spark, empty).count() == 0
 
 
+def test_small_memory_of_words(bytes_, monkeypatch):
+    own, library = bytes_
+    monkeypatch.setattr(byte_bpe, "MEMO_WORDS", 3)
+    own.memo.clear()
+    for text in samples()[:200]:
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(own.memo) <= 3 and len(own.memo.old) <= 3
+
+
 def test_encode_and_decode_frames(spark, bytes_):
     path = queries.vocabulary("byte_bpe_50k.json")
     data = corpus.rows()
