@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from . import schema
 from .functions import content, scoring, text
 from .operators import joins, registry, reshape
-from .plans import longform
+from .plans import builds, longform
 from .queries import _EVENTS, _content, _h16, messages, observed, query, table
 from .sources import python_sources, readers, sinks
 
@@ -418,3 +418,60 @@ def choice_scores(spark: SparkSession, d: str) -> DataFrame:
     said = F.array(*map(F.lit, ("The answer is B.", "**C** it is", "(B) because", "no idea", "A", "Answer: B")))
     p, g = F.get(said, (k % 6).cast("int")), F.lit("B")
     return table(spark, d, "events").select("event_id", scoring.choice_score(p, g).alias("four"), scoring.choice_score_ten(p, F.lit(" b ")).alias("ten"), scoring.free_score(p, g, F.lit("multi_choice")).alias("multi"))
+
+
+# --- whole builds ------------------------------------------------------------------------------------------------
+
+
+def _named(star: longform.Star) -> DataFrame:
+    """Responses with the labels and raw identifiers that their ids stand for."""
+    out = star.responses.join(star.subjects.select("subject_id", "display_name"), "subject_id").join(star.items.select("item_id", "raw_item_id"), "item_id")
+    return out.select("display_name", "raw_item_id", "trial", "test_condition", "response")
+
+
+@query("""WITH c AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS t, text FROM conversations),
+j AS (SELECT conv_id, t, m, CASE (conv_id + t + m) % 4 WHEN 0 THEN 7.0 WHEN 1 THEN t + 0.5 WHEN 2 THEN 3.0 END AS response FROM c, (SELECT unnest([0, 1, 1]) AS m))
+SELECT 'model ' || m AS display_name, count(*) AS n, sum(response)::DOUBLE AS total, CAST(max(k) AS INTEGER) AS trials, count(DISTINCT x) AS items
+FROM (SELECT j.*, trim(c.text, """ + _WS + """) AS x, row_number() OVER (PARTITION BY m, trim(c.text, """ + _WS + """)) AS k FROM j JOIN c USING (conv_id, t) WHERE response IS NOT NULL) GROUP BY 1""")
+def build_judged_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Judgments and questions as JSON Lines, with scores, marks for none, judgments that name one, and repeated lines."""
+    q = messages(spark, d).select(F.col("conv_id").alias("question_id"), F.transform("messages", lambda x: x["content"]).alias("turns"))
+    each = q.select("question_id", F.posexplode("turns").alias("p", "x")).select("question_id", (F.col("p") + 1).alias("turn"), F.explode(F.array(F.lit(0), F.lit(1), F.lit(1))).alias("m"))
+    kind = (F.col("question_id") + F.col("turn") + F.col("m")) % 4
+    score = F.when(kind == 0, 7.0).when(kind == 1, -1.0).when(kind == 3, -1.0)
+    judgment = F.when(kind == 1, F.concat(F.lit("so [["), F.col("turn").cast("string"), F.lit(".5]]"))).when(kind == 2, "rated [[3]]").otherwise("no mark")
+    base = folder(spark)
+    lines(q, f"{base}/questions", "question_id", "turns")
+    lines(each, f"{base}/judgments", F.concat(F.lit("model "), F.col("m").cast("string")).alias("model"), "question_id", "turn", score.alias("score"), judgment.alias("judgment"))
+    judgments = readers.jsonl(spark, f"{base}/judgments", "model string, question_id long, turn int, score double, judgment string")
+    star = builds.judged_turns(judgments, readers.jsonl(spark, f"{base}/questions", "question_id long, turns array<string>").select("question_id", "turns"), "judged")
+    out = star.responses.join(star.subjects.select("subject_id", "display_name"), "subject_id")
+    return out.groupBy("display_name").agg(F.count("*").alias("n"), F.sum("response").alias("total"), F.max("trial").alias("trials"), F.count_distinct("item_id").alias("items"))
+
+
+@query("""WITH r AS (SELECT label FROM embeddings WHERE vec_id = 0), e AS (SELECT vec_id, embedding, unnest(range(0, 64)) AS pos FROM embeddings WHERE vec_id % 2 = 0 AND (vec_id % 3 <> 0 OR label = (SELECT label FROM r)))
+SELECT 'v' || vec_id AS display_name, 'i' || pos AS raw_item_id, CAST(1 AS INTEGER) AS trial, 'subset=' || (pos % 3) AS test_condition, CAST(embedding[pos + 1] AS DOUBLE) AS response FROM e""")
+def build_positional_results(spark: SparkSession, d: str) -> DataFrame:
+    """Files by position; those of another length or with other subsets are dropped."""
+    k, e = F.col("vec_id"), table(spark, d, "embeddings")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: (i % 3).cast("string"))
+    first = e.where("vec_id = 0").select("label").first()
+    subset = F.when((k % 3 == 0) & (F.col("label") == (first[0] if first else None)), parts).when(k % 3 == 0, F.reverse(parts)).when(k % 3 == 1, F.array().cast("array<string>"))
+    files = e.select(F.concat(F.lit("v"), k.cast("string")).alias("label"), F.when(k % 2 == 0, F.col("embedding")).otherwise(F.slice("embedding", 1, 63)).alias("results"), subset.alias("subset"))
+    named = lambda mark: F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.concat(F.lit(mark), i.cast("string")))
+    reference = e.where("vec_id = 0").select(F.col("embedding").alias("results"), parts.alias("subset"), named("i").alias("ids"), named("text of ").alias("contents"))
+    return _named(builds.positional_results(files, reference, "positional"))
+
+
+@query("""WITH o AS (SELECT o_orderkey % 9 AS k, o_orderstatus AS s, 't' || (o_custkey % 200) AS task FROM orders)
+SELECT 'run ' || f.k AS display_name, t.task AS raw_item_id, CAST(1 AS INTEGER) AS trial, CAST(NULL AS VARCHAR) AS test_condition,
+CASE WHEN EXISTS (SELECT 1 FROM o WHERE o.k = f.k AND o.s = 'F' AND o.task = t.task) THEN 1.0 ELSE 0.0 END::DOUBLE AS response
+FROM (SELECT DISTINCT k FROM o) f, (SELECT DISTINCT task FROM o) t""")
+def build_resolved_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Lists of resolved tasks, one object a run: every run with every task that any list names."""
+    o = table(spark, d, "orders").select(F.pmod(F.col("o_orderkey"), F.lit(9)).alias("k"), F.when(F.col("o_orderstatus") == "F", "resolved").otherwise(F.col("o_orderstatus")).alias("s"), F.concat(F.lit("t"), (F.col("o_custkey") % 200).cast("string")).alias("task"))
+    objects = o.groupBy("k", "s").agg(F.collect_set("task").alias("ts")).groupBy("k").agg(F.map_from_entries(F.collect_list(F.struct("s", "ts"))).alias("m"))
+    path = folder(spark)
+    objects.select("k", F.to_json("m").alias("value")).repartition("k").write.partitionBy("k").text(path)
+    files = readers.json_object(spark, path, "map<string,array<string>>")
+    return _named(builds.resolved_grid(files.select(F.concat(F.lit("run "), F.regexp_extract("file", r"/k=(\d+)/", 1)).alias("label"), "value"), "resolved"))
