@@ -207,13 +207,13 @@ def vocabulary_violations(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH c AS (SELECT c_custkey AS k, 'b' || (c_custkey % 3) AS o, c_name FROM customer)
-SELECT 'x' || (k % 40) AS subject_id, arg_min(c_name, o || lpad(k::VARCHAR, 9, '0')) AS display_name, count(DISTINCT c_name) AS labels FROM c GROUP BY 1""")
+SELECT 'x' || (k % 40) AS subject_id, arg_min(c_name, o || lpad(k::VARCHAR, 9, '0')) AS display_name, string_agg(DISTINCT c_name, '|' ORDER BY c_name) AS labels FROM c GROUP BY 1""")
 def registry_merge(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     build = F.concat(F.lit("b"), (k % 3).cast("string"), F.lpad(k.cast("string"), 9, "0")).alias("ord")
     c = table(spark, d, "customer").select(F.concat(F.lit("x"), (k % 40).cast("string")).alias("subject_id"), F.col("c_name").alias("display_name"), F.array("c_name").alias("raw_labels_seen"), build)
     more = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.SUBJECTS.fields if f.name not in c.columns]
-    return registry.merge_subjects(c.select("*", *more), "ord").select("subject_id", "display_name", F.size("raw_labels_seen").cast("long").alias("labels"))
+    return registry.merge_subjects(c.select("*", *more), "ord").select("subject_id", "display_name", F.array_join(F.array_sort("raw_labels_seen"), "|").alias("labels"))
 
 
 # --- projections, joins, reshaping -------------------------------------------------------------------------------
